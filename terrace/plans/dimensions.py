@@ -44,6 +44,12 @@ def discount_tier(rate) -> Column:
     return tier(rate, NO_DISCOUNT, DISCOUNT_STEPS, TOP_DISCOUNT)
 
 
+def key_view(df: DataFrame, sk: str, key: str) -> DataFrame:
+    """Only the keys of a current-state dimension, as a fact lookup reads them."""
+    keys = df.select(surrogate_key(key).alias(sk), key)
+    return with_unknown_member(keys, {sk: UNKNOWN_SK, key: UNKNOWN_KEY})
+
+
 def dim_customer(customer: DataFrame, person: DataFrame, store: DataFrame, addresses: DataFrame) -> DataFrame:
     """Current state of each customer with person, store and best address."""
     persons = person.select(

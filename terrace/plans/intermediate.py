@@ -34,9 +34,11 @@ def customer_addresses(
     """One best address per customer: lowest address type, then latest change.
 
     The path runs through the person, so a customer that is only a store keeps
-    a row without an address.
+    a row without an address. Addresses are ranked per business entity before
+    any customer is joined: the ranking keeps one row per entity in each map
+    task, and every join of the chain then meets a unique key.
     """
-    addresses = lookup_chain(
+    candidates = business_entity_address.select("business_entity_bk", "address_bk", "address_type_id").join(
         address.select(
             "address_bk",
             "address_line_1",
@@ -44,40 +46,39 @@ def customer_addresses(
             "city",
             "state_province_bk",
             "postal_code",
+            F.col("address_bk").alias("_found_address"),
             F.col("modified_at").alias("_address_modified"),
         ),
+        "address_bk",
+        "left",
+    )
+    best_of_entity = best_per_key(
+        candidates,
+        ["business_entity_bk"],
         [
-            (
-                state_province.select(
-                    "state_province_bk", "state_province_code", "state_province_name", "country_region_code"
-                ),
-                "state_province_bk",
-                "state_province_bk",
-            )
+            F.col("address_type_id").asc(),
+            F.col("_address_modified").desc_nulls_last(),
+            F.col("address_bk").asc(),
         ],
+    ).select(
+        F.col("business_entity_bk").alias("_linked"),
+        F.col("_found_address").alias("address_bk"),
+        "address_line_1",
+        "address_line_2",
+        "city",
+        "state_province_bk",
+        "postal_code",
     )
-    reached = lookup_chain(
+    states = state_province.select(
+        "state_province_bk", "state_province_code", "state_province_name", "country_region_code"
+    )
+    best = lookup_chain(
         customer.select("customer_bk", "person_bk"),
         [
             (person.select(F.col("person_bk").alias("_person")), "_person", "person_bk"),
             (business_entity.select(F.col("business_entity_bk").alias("_entity")), "_entity", "_person"),
-            (
-                business_entity_address.select(
-                    F.col("business_entity_bk").alias("_linked"), "address_bk", "address_type_id"
-                ),
-                "_linked",
-                "_entity",
-            ),
-            (addresses, "address_bk", "address_bk"),
-        ],
-    )
-    best = best_per_key(
-        reached,
-        ["customer_bk"],
-        [
-            F.col("address_type_id").asc(),
-            F.col("_address_modified").desc_nulls_last(),
-            F.col("address_bk").asc(),
+            (best_of_entity, "_linked", "_entity"),
+            (states, "state_province_bk", "state_province_bk"),
         ],
     )
     return best.select(

@@ -162,15 +162,14 @@ SELECT c_custkey, n_name, r_name, o_orderkey, o_orderpriority FROM (
   LEFT JOIN orders o ON o.o_custkey = c.c_custkey) WHERE rn = 1
 """)
 def best_order_chain(t: Tables) -> DataFrame:
+    order = [F.col("o_orderpriority").asc(), F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc()]
+    best = best_per_key(t.orders, ["o_custkey"], order).select("o_custkey", "o_orderkey", "o_orderpriority")
     reached = lookup_chain(
         t.customer,
         [(t.nation, "n_nationkey", "c_nationkey"), (t.region, "r_regionkey", "n_regionkey"),
-         (t.orders, "o_custkey", "c_custkey")],
-    )
-    order = [F.col("o_orderpriority").asc(), F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc()]
-    return best_per_key(reached, ["c_custkey"], order).select(
-        "c_custkey", "n_name", "r_name", "o_orderkey", "o_orderpriority"
+         (best, "o_custkey", "c_custkey")],
     )
+    return reached.select("c_custkey", "n_name", "r_name", "o_orderkey", "o_orderpriority")
 
 
 @query("""

@@ -7,6 +7,8 @@ lines, parts are products, suppliers are employees and nations are territories.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..plans.staging import CUSTOMER_TYPE, ORDER_STATUS
 from ..quality import checks
 from ..quality.contracts import CONTRACTS
 from ..quality.suite import run_suite
+from ..sources.tables import stored
 from .operators import SHARE_SQL, date_dim_sql
 from .registry import Tables, query
 
@@ -391,23 +394,34 @@ def territory_history(t: Tables) -> DataFrame:
     return history.snapshot(history.TERRITORY, first, renamed, CHANGE)
 
 
-def dimension_tables(t: Tables) -> dict[str, DataFrame]:
-    flags = intermediate.order_flag_combinations(stg_header(t), stg_ship_method(t), stg_credit_card(t))
+def flag_combinations(t: Tables) -> DataFrame:
+    return intermediate.order_flag_combinations(stg_header(t), stg_ship_method(t), stg_credit_card(t))
+
+
+def customer_dimension(t: Tables) -> DataFrame:
+    return dimensions.dim_customer(stg_customer(t), stg_person(t), stg_store(t), customer_addresses(t))
+
+
+def offer_dimension(t: Tables) -> DataFrame:
+    return dimensions.dim_special_offer(stg_offer(t), stg_offer_product(t), ntz(AS_OF))
+
+
+def fact_dimensions(t: Tables) -> dict[str, DataFrame]:
+    """What the fact and the mart read: versioned dimensions, and keys only of the others."""
     return {
-        "dim_customer": dimensions.dim_customer(
-            stg_customer(t), stg_person(t), stg_store(t), customer_addresses(t)
+        "dim_customer": dimensions.key_view(
+            t.customer.select(F.col("c_custkey").alias("customer_bk")), "customer_sk", "customer_bk"
         ),
+        "dim_special_offer": dimensions.key_view(stg_offer(t), "special_offer_sk", "special_offer_bk"),
         "dim_product": dimensions.dim_product(product_history(t)),
         "dim_employee": dimensions.dim_employee(employee_history(t)),
         "dim_salesterritory": dimensions.dim_salesterritory(territory_history(t)),
-        "dim_date": dimensions.dim_date(stg_header(t)),
-        "dim_special_offer": dimensions.dim_special_offer(stg_offer(t), stg_offer_product(t), ntz(AS_OF)),
-        "dim_sales_order_junk": dimensions.dim_sales_order_junk(flags),
+        "dim_sales_order_junk": dimensions.dim_sales_order_junk(flag_combinations(t)),
     }
 
 
 def fact(t: Tables, dims: dict[str, DataFrame] | None = None) -> DataFrame:
-    return sales.sales_fact(lines_enriched(t), dims or dimension_tables(t))
+    return sales.sales_fact(lines_enriched(t), dims or fact_dimensions(t))
 
 
 # --- reference SQL -------------------------------------------------------------------------
@@ -630,7 +644,7 @@ WITH {HEADER_SQL} SELECT DISTINCT order_status, is_online_order, coalesce(revisi
                          ship_method_name, card_type FROM header
 """)
 def int_order_flag_combinations(t: Tables) -> DataFrame:
-    return intermediate.order_flag_combinations(stg_header(t), stg_ship_method(t), stg_credit_card(t))
+    return flag_combinations(t)
 
 
 @query(f"""
@@ -701,7 +715,7 @@ SELECT '-1' AS customer_sk, -1 AS customer_bk, 'Unknown' AS customer_type, 'Unkn
        true AS is_unknown
 """)
 def dim_customer(t: Tables) -> DataFrame:
-    return dimension_tables(t)["dim_customer"]
+    return customer_dimension(t)
 
 
 @query(f"""
@@ -767,7 +781,7 @@ SELECT '-1' AS special_offer_sk, -1 AS special_offer_bk, 'Unknown' AS offer_desc
        'No Discount' AS discount_tier, false AS is_active, 0 AS eligible_product_count, true AS is_unknown
 """)
 def dim_special_offer(t: Tables) -> DataFrame:
-    return dimensions.dim_special_offer(stg_offer(t), stg_offer_product(t), ntz(AS_OF))
+    return offer_dimension(t)
 
 
 @query(f"""
@@ -781,9 +795,7 @@ SELECT '-1' AS sales_order_junk_sk, 'Unknown' AS order_status, 'Unknown' AS ship
        'Unknown' AS card_type, true AS is_unknown
 """)
 def dim_sales_order_junk(t: Tables) -> DataFrame:
-    return dimensions.dim_sales_order_junk(
-        intermediate.order_flag_combinations(stg_header(t), stg_ship_method(t), stg_credit_card(t))
-    )
+    return dimensions.dim_sales_order_junk(flag_combinations(t))
 
 
 @query(f"WITH {FACT_SQL} SELECT {FACT_COLUMNS.format(discount=STATED_DISCOUNT)} FROM fact")
@@ -800,7 +812,7 @@ WITH {FACT_SQL} SELECT {FACT_COLUMNS.format(
 """)
 def fact_sales_incremental(t: Tables) -> DataFrame:
     """A stored fact up to 1999 with a stale measure; the run repairs the lookback window only."""
-    dims = dimension_tables(t)
+    dims = fact_dimensions(t)
     lines = lines_enriched(t)
     stale = sales.sales_fact(lines.filter(F.col("order_date") < ntz("2000-01-01 00:00:00")), dims).withColumn(
         "unit_price_discount", F.lit(9).cast("decimal(19,4)")
@@ -842,15 +854,16 @@ SELECT year_number, quarter_number, month_number, month_name, sales_territory_bk
        CAST(cost AS DOUBLE) AS total_cost, CAST(net - cost AS DOUBLE) AS gross_profit,
        CAST((2 * CAST(net * 1000000 AS HUGEINT) + order_count) // (2 * order_count) AS DOUBLE) / 1000000
          AS avg_order_value,
-       CAST((2 * CAST(net * 1000000 AS HUGEINT) * 10000 + line_count) // (2 * line_count) AS DOUBLE) / 10000000000
+       CAST((avg_units // 10000000000) || '.' || lpad(CAST(avg_units % 10000000000 AS VARCHAR), 10, '0') AS DOUBLE)
          AS avg_line_value
-FROM agg LEFT JOIN dim_employee e ON e.employee_bk = agg.employee_bk AND e.is_current
+FROM (SELECT *, (2 * CAST(net * 1000000 AS HUGEINT) * 10000 + line_count) // (2 * line_count) AS avg_units FROM agg) agg
+LEFT JOIN dim_employee e ON e.employee_bk = agg.employee_bk AND e.is_current
 """
 
 
 @query(MART_SQL)
 def mart_sales(t: Tables) -> DataFrame:
-    dims = dimension_tables(t)
+    dims = {**fact_dimensions(t), "dim_date": dimensions.dim_date(stg_header(t))}
     return sales.sales_mart(fact(t, dims), dims)
 
 
@@ -867,14 +880,46 @@ def mart_fact_reconciliation(t: Tables) -> DataFrame:
     return checks.reconcile(whole, "line_total", short, "line_total", "fact_net_revenue", "mart_net_revenue")
 
 
-@query()
+GOLD_TABLES = (
+    "dim_customer", "dim_special_offer", "dim_product", "dim_employee", "dim_salesterritory",
+    "dim_sales_order_junk", "dim_date", "fct_sales_detail", "mart_sales_summary",
+)
+
+
+def contract_sql() -> str:
+    """Every declared check with no violations, except the customers that have no name."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    rows = [
+        f"({text(name)}, {text(c.label)}, {text(c.test)}, {text(c.detail)})"
+        for name in GOLD_TABLES
+        for c in CONTRACTS[name]
+    ]
+    return f"""
+SELECT table_name, column_name, test, detail,
+       CAST(CASE WHEN table_name = 'dim_customer' AND column_name = 'customer_name' AND test = 'not_null'
+                 THEN (SELECT count(*) FROM customer
+                       WHERE NOT c_acctbal >= 0 AND c_mktsegment NOT IN ('MACHINERY', 'BUILDING'))
+                 ELSE 0 END AS BIGINT) AS violations
+FROM (VALUES {", ".join(rows)}) AS checks(table_name, column_name, test, detail)
+"""
+
+
+@query(contract_sql())
 def contract_report_gold(t: Tables) -> DataFrame:
     """Declared checks of all gold tables on this warehouse: one row per check."""
-    dims = dimension_tables(t)
-    tables = {**dims, "fct_sales_detail": fact(t, dims)}
-    tables["mart_sales_summary"] = sales.sales_mart(tables["fct_sales_detail"], dims)
-    report = None
-    for name, table in tables.items():
-        one = run_suite(table, name, CONTRACTS[name], tables)
-        report = one if report is None else report.unionByName(one)
-    return report
+    dims = {
+        **fact_dimensions(t),
+        "dim_date": dimensions.dim_date(stg_header(t)),
+        "dim_customer": customer_dimension(t),
+        "dim_special_offer": offer_dimension(t),
+    }
+    tables = {name: stored(dim, f"contract/{name}") for name, dim in dims.items()}
+    tables["fct_sales_detail"] = stored(fact(t, tables), "contract/fct_sales_detail")
+    tables["mart_sales_summary"] = stored(
+        sales.sales_mart(tables["fct_sales_detail"], tables), "contract/mart_sales_summary"
+    )
+    reports = [run_suite(table, name, CONTRACTS[name], tables) for name, table in tables.items()]
+    return reduce(DataFrame.unionByName, reports)

@@ -89,3 +89,21 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
         .partitionBy(partition)
         .parquet(path)
     )
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors reach, as the cluster names it; None where none is set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back, which cuts its lineage.
+
+    Without a shared folder the frame stays lazy.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/{df.sparkSession.sparkContext.applicationId}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
