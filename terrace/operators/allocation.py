@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 SHARE_TYPE = "decimal(38,6)"
 
 
-def line_share(amount: Column, weight: Column, total: Column) -> Column:
-    """``amount * weight / total``; 0 when the total is zero, negative or missing."""
-    return F.when(total > 0, amount * (weight / total)).otherwise(F.lit(0)).cast(SHARE_TYPE)
+def line_ratio(weight: Column, total: Column) -> Column:
+    """A line's part of its order; NULL when the total is zero, negative or missing."""
+    return F.when(total > 0, weight / total)
+
+
+def line_share(amount: Column, ratio: Column) -> Column:
+    """``amount * ratio``; 0 where there is no ratio."""
+    return F.when(ratio.isNotNull(), amount * ratio).otherwise(F.lit(0)).cast(SHARE_TYPE)
 
 
 def allocate(
@@ -30,10 +35,8 @@ def allocate(
     """
     totals = lines.groupBy(key).agg(F.sum(weight).alias("_total"))
     priced = headers.join(totals, key)
-    joined = lines.join(priced, key)
+    # The ratio is a column of its own so that its wide division runs once per line.
+    joined = lines.join(priced, key).withColumn("_ratio", line_ratio(F.col(weight), F.col("_total")))
     return joined.withColumns(
-        {
-            name: line_share(F.col(amount), F.col(weight), F.col("_total"))
-            for name, amount in amounts.items()
-        }
-    ).drop("_total")
+        {name: line_share(F.col(amount), F.col("_ratio")) for name, amount in amounts.items()}
+    ).drop("_total", "_ratio")

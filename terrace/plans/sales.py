@@ -96,20 +96,32 @@ def sales_fact(
     )
 
 
-def sales_fact_incremental(
+def fact_batch(
     lines: DataFrame,
     dims: Mapping[str, DataFrame],
     target: DataFrame | None,
     lookback: str = "order_date",
     hot_share: float | None = None,
 ) -> DataFrame:
-    """Resolve the lines inside the lookback window and merge them by line key.
+    """Fact rows of the lines inside the lookback window of ``target``; all lines on a first run.
 
     The window follows the order date, so a correction to an order older than
-    the window does not reach the fact; lines deleted at the source stay.
+    the window does not reach the fact.
     """
     recent = incremental_slice(lines, target, lookback, lookback, FACT_LOOKBACK_DAYS)
-    return merge_upsert(target, sales_fact(recent, dims, hot_share), [FACT_KEY], check_unique=False)
+    return sales_fact(recent, dims, hot_share)
+
+
+def sales_fact_incremental(
+    lines: DataFrame,
+    dims: Mapping[str, DataFrame],
+    target: DataFrame | None,
+    lookback: str = "order_date",
+    hot_share: float | None = None,
+) -> DataFrame:
+    """The stored fact with the new batch merged by line key; lines deleted at the source stay."""
+    batch = fact_batch(lines, dims, target, lookback, hot_share)
+    return merge_upsert(target, batch, [FACT_KEY], check_unique=False)
 
 
 MART_GRAIN = (

@@ -80,28 +80,29 @@ def stage(table: str | SourceTable, landed: DataFrame) -> DataFrame:
     return conform(latest, {c.name: staged_expression(spec, c) for c in spec.staged})
 
 
-def stage_incremental(table: str | SourceTable, landed: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Stage the rows modified since the target's newest less the lookback, merged by key.
+def staged_batch(table: str | SourceTable, landed: DataFrame, target: DataFrame | None) -> DataFrame:
+    """Staged rows modified since the target's newest less the lookback; all on a first run.
 
-    The lookback compares the typed modification time. The staged batch is
-    unique by construction: it was deduplicated on the columns of its key.
+    The lookback compares the typed modification time. The batch is unique by
+    construction: it was deduplicated on the columns of its key.
     """
     spec = SOURCES[table] if isinstance(table, str) else table
     timed = landed.withColumn("_modified", leading_timestamp(MODIFIED))
     fresh = incremental_slice(timed, target, "_modified", "modified_at", LOOKBACK_DAYS).drop("_modified")
-    batch = stage(spec, fresh)
+    return stage(spec, fresh)
+
+
+def stage_incremental(table: str | SourceTable, landed: DataFrame, target: DataFrame | None) -> DataFrame:
+    """The stored staging table with the new batch merged by key."""
+    spec = SOURCES[table] if isinstance(table, str) else table
+    batch = staged_batch(spec, landed, target)
     return merge_upsert(target, batch, [MERGE_KEYS[spec.staged_as]], check_unique=False)
 
 
-def stage_all(
-    landed: Mapping[str, DataFrame], targets: Mapping[str, DataFrame] | None = None
-) -> dict[str, DataFrame]:
-    """All 22 staging tables by staging name."""
-    targets = targets or {}
-    staged = {}
-    for name, spec in SOURCES.items():
-        if spec.staged_as in MERGE_KEYS:
-            staged[spec.staged_as] = stage_incremental(spec, landed[name], targets.get(spec.staged_as))
-        else:
-            staged[spec.staged_as] = stage(spec, landed[name])
-    return staged
+def stage_views(landed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The 20 staging tables that are recomputed by their readers."""
+    return {
+        spec.staged_as: stage(spec, landed[name])
+        for name, spec in SOURCES.items()
+        if spec.staged_as not in MERGE_KEYS
+    }

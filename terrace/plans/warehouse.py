@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.incremental import merge_upsert
 from ..quality.suite import enforce, run_suite
-from ..sources.tables import read_current, write_version
+from ..sources.registry import SOURCES
+from ..sources.tables import merge_partitions, read_current, read_partitions, stored, write_version
 from . import dimensions, history, intermediate, sales, staging
 
 HISTORIES = ("snap_product", "snap_employee", "snap_salesterritory")
@@ -34,27 +37,54 @@ class Warehouse:
         return {**self.landed, **self.staging, **self.intermediate, **self.history, **self.gold}
 
 
+@dataclass(frozen=True)
+class Merged:
+    """How a merge-loaded table is keyed and, when stored, split into partitions."""
+
+    keys: tuple[str, ...]
+    partition: str
+    partition_value: Callable[[], Column]
+
+
+def _order_block() -> Column:
+    return F.floor(F.coalesce(F.col("sales_order_bk"), F.lit(-1)) / 1_000_000).cast("int")
+
+
+def _order_month() -> Column:
+    return F.coalesce(F.year("order_date") * 100 + F.month("order_date"), F.lit(0)).cast("int")
+
+
+MERGED = {
+    "stg_sales_order_header": Merged(("sales_order_bk",), "order_block", _order_block),
+    "stg_sales_order_detail": Merged(("sales_order_line_bk",), "order_block", _order_block),
+    "fct_sales_detail": Merged((sales.FACT_KEY,), "order_month", _order_month),
+}
+
+
 def build(
     landed: Mapping[str, DataFrame],
     as_of,
     state: Mapping[str, DataFrame] | None = None,
     initial_valid_from=None,
     keep=lambda name, df: df,
+    merge=lambda name, target, batch: merge_upsert(target, batch, MERGED[name].keys, check_unique=False),
     hot_share: float | None = None,
 ) -> Warehouse:
     """Wire all models in dependency order.
 
     ``state`` holds the previous run's ``STATE_TABLES``. ``keep`` is called on
-    every table that is stored (the merged staging tables, histories,
-    dimensions, fact and mart) and returns what later models read: the same
-    lazy frame by default, a written table in ``run``. Models in between stay
-    lazy and are optimised as part of their readers.
+    the histories, dimensions and mart, ``merge`` on the batches of the three
+    merge-loaded tables; both return what later models read: a lazy frame by
+    default, a written table in ``run``. Models in between stay lazy and are
+    optimised as part of their readers.
     """
     state = state or {}
     w = Warehouse(dict(landed))
-    w.staging = staging.stage_all(landed, state)
-    for name in staging.MERGE_KEYS:
-        w.staging[name] = keep(name, w.staging[name])
+    w.staging = staging.stage_views(landed)
+    for source in ("SalesOrderHeader", "SalesOrderDetail"):
+        name = SOURCES[source].staged_as
+        batch = staging.staged_batch(source, landed[source], state.get(name))
+        w.staging[name] = merge(name, state.get(name), batch)
     s = w.staging
 
     mid = w.intermediate
@@ -103,12 +133,12 @@ def build(
     }
     for name, dim in gold.items():
         w.gold[name] = keep(name, dim)
-    w.gold["fct_sales_detail"] = keep(
-        "fct_sales_detail",
-        sales.sales_fact_incremental(
-            mid["int_sales_order_line_enriched"], w.gold, state.get("fct_sales_detail"), hot_share=hot_share
-        ),
+
+    stored_fact = state.get("fct_sales_detail")
+    batch = sales.fact_batch(
+        mid["int_sales_order_line_enriched"], w.gold, stored_fact, hot_share=hot_share
     )
+    w.gold["fct_sales_detail"] = merge("fct_sales_detail", stored_fact, batch)
     w.gold["mart_sales_summary"] = keep(
         "mart_sales_summary", sales.sales_mart(w.gold["fct_sales_detail"], w.gold)
     )
@@ -124,27 +154,39 @@ def run(
     check: bool = False,
     hot_share: float | None = None,
 ) -> Warehouse:
-    """Build on top of the newest finished versions under ``base`` and write new ones.
+    """Build on top of the newest finished state under ``base`` and write the next.
 
     Each stored table is read back after its write, which cuts the lineage of
-    everything after it. With ``check`` the contracts of a stored table must
-    hold before anything downstream of it is built.
+    everything after it and lets Catalyst see its true size. A merge-loaded
+    table rewrites only the partitions its batch touches. With ``check`` the
+    contracts of a stored table must hold before anything downstream is built.
     """
     from ..quality.contracts import CONTRACTS
 
-    state = {}
-    for name in STATE_TABLES:
-        stored = read_current(spark, f"{base}/{name}")
-        if stored is not None:
-            state[name] = stored
+    def read(name: str) -> DataFrame | None:
+        if name in MERGED:
+            table = read_partitions(spark, f"{base}/{name}")
+            return None if table is None else table.drop(MERGED[name].partition)
+        return read_current(spark, f"{base}/{name}")
+
+    state = {name: table for name in STATE_TABLES if (table := read(name)) is not None}
     done: dict[str, DataFrame] = dict(landed)
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        stored = write_version(df, f"{base}/{name}")
-        done[name] = stored
+    def checked(name: str, table: DataFrame) -> DataFrame:
+        done[name] = table
         if check and name in CONTRACTS:
             ready = [c for c in CONTRACTS[name] if c.parent is None or c.parent.rsplit(".", 1)[0] in done]
-            enforce(run_suite(stored, name, ready, done))
-        return stored
+            enforce(run_suite(table, name, ready, done))
+        return table
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return checked(name, write_version(df, f"{base}/{name}"))
+
+    def merge(name: str, target: DataFrame | None, batch: DataFrame) -> DataFrame:
+        how = MERGED[name]
+        # The batch is read several times by the merge.
+        split = stored(batch.withColumn(how.partition, how.partition_value()), f"{name}_batch")
+        merge_partitions(split, f"{base}/{name}", how.keys, how.partition)
+        return checked(name, read(name))
 
-    return build(landed, as_of, state, initial_valid_from, keep, hot_share)
+    return build(landed, as_of, state, initial_valid_from, keep, merge, hot_share)

@@ -8,9 +8,14 @@ the previous version in place.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.incremental import merge_upsert
+
 VERSION_PREFIX = "version="
 
 
@@ -81,14 +86,82 @@ def write_version(df: DataFrame, base: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace only the partition directories that ``df`` has rows for."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
+RUN_PREFIX = "run="
+
+
+def _finished_partitions(spark: SparkSession, base: str) -> tuple[dict[str, str], list[str], int]:
+    """Newest finished directory per partition, finished runs (oldest first), and the last run number."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(conf)
+    newest: dict[str, str] = {}
+    finished: list[str] = []
+    if not fs.exists(root):
+        return newest, finished, 0
+    runs = sorted(
+        int(s.getPath().getName()[len(RUN_PREFIX):])
+        for s in fs.listStatus(root)
+        if s.getPath().getName().startswith(RUN_PREFIX)
     )
+    for number in runs:
+        folder = f"{base}/{RUN_PREFIX}{number}"
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+            continue
+        finished.append(folder)
+        for status in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
+            name = status.getPath().getName()
+            if status.isDirectory() and "=" in name:
+                newest[name] = f"{folder}/{name}"
+    return newest, finished, runs[-1] if runs else 0
+
+
+def read_partitions(spark: SparkSession, base: str) -> DataFrame | None:
+    """A table of ``merge_partitions``: each partition from the newest finished run that holds it.
+
+    The newest run carries every column; partitions of older runs read the
+    columns they lack as NULL.
+    """
+    newest, finished, _ = _finished_partitions(spark, base)
+    if not newest:
+        return None
+    schema = spark.read.parquet(finished[-1]).schema
+    reader = spark.read.schema(schema).option("basePath", base)
+    return reader.parquet(*newest.values()).drop(RUN_PREFIX.rstrip("="))
+
+
+def merge_partitions(updates: DataFrame, base: str, keys: Sequence[str], partition: str) -> DataFrame:
+    """Keyed merge into a partitioned table that rewrites only the partitions it touches.
+
+    Touched are the partitions of the batch and those that now hold one of its
+    keys, so a row whose partition value changed leaves its old place; finding
+    them scans the key columns only. Each run writes its partitions to a
+    directory of its own, which readers take up when Spark has committed it: a
+    run that loses executors or fails leaves the table as it was. ``partition``
+    must not be NULL.
+    """
+    spark = updates.sparkSession
+    target = read_partitions(spark, base)
+    _, _, last = _finished_partitions(spark, base)
+    folder = f"{base}/{RUN_PREFIX}{last + 1}"
+    merged = updates
+    if target is not None:
+        held = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
+        # One small value per touched partition.
+        values = [r[0] for r in updates.select(partition).union(held).distinct().collect()]
+        if not values:
+            return target
+        merged = merge_upsert(target.filter(F.col(partition).isin(values)), updates, keys, check_unique=False)
+        # A touched partition without rows left is an empty directory of the new run.
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for value in values:
+            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{partition}={value}")
+            path.getFileSystem(conf).mkdirs(path)
+    # Rebalancing keeps one partition in few files and splits one that is large.
+    balanced = merged.hint("rebalance", F.col(partition))
+    balanced.write.mode("append").partitionBy(partition).parquet(folder)
+    return read_partitions(spark, base)
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -97,13 +170,17 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared folder and read it back, which cuts its lineage.
+    """Write ``df`` to a directory of its own under the shared folder and read it back.
 
-    Without a shared folder the frame stays lazy.
+    This cuts the lineage, and the file sizes tell Catalyst how large the table
+    really is: a small dimension is then broadcast from the start and the other
+    side of its join is never shuffled, a large one is not. Without a shared
+    folder the frame stays lazy.
     """
-    folder = shared_folder(df.sparkSession)
+    spark = df.sparkSession
+    folder = shared_folder(spark)
     if folder is None:
         return df
-    path = f"{folder.rstrip('/')}/{df.sparkSession.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -6,8 +6,9 @@ from terrace.sources.registry import SOURCES
 from terrace.sources.tables import (
     append,
     materialize,
+    merge_partitions,
     read_current,
-    replace_partitions,
+    read_partitions,
     save_overwrite,
     source,
     write_version,
@@ -67,8 +68,21 @@ def test_versions_survive_a_failed_write(spark, frame, tmp_path):
     assert rows_of(read_current(spark, base)) == [(1,), (2,)]
 
 
-def test_replace_partitions_leaves_the_others(spark, frame, tmp_path):
-    path = str(tmp_path / "p")
-    replace_partitions(frame([(1, 1), (2, 2)], "v int, part int"), path, "part")
-    replace_partitions(frame([(9, 2), (8, 3)], "v int, part int"), path, "part")
-    assert rows_of(spark.read.parquet(path), "v", "part") == [(1, 1), (8, 3), (9, 2)]
+def test_merge_rewrites_only_touched_partitions(spark, frame, tmp_path):
+    base = str(tmp_path / "t")
+    schema = "k int, v string, part int"
+    merge_partitions(frame([(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", 4)], schema), base, ["k"], "part")
+    # 2 changes, 3 moves and leaves its partition empty, 5 is new
+    merged = merge_partitions(frame([(2, "B", 2), (3, "C", 5), (5, "e", 2)], schema), base, ["k"], "part")
+    assert rows_of(merged, "k", "v", "part") == [(1, "a", 1), (2, "B", 2), (3, "C", 5), (4, "d", 4), (5, "e", 2)]
+    touched = {p.name for p in (tmp_path / "t" / "run=2").iterdir() if p.is_dir()}
+    assert touched == {"part=2", "part=3", "part=5"}
+    # a run that did not finish is invisible, and its number is not used again
+    (tmp_path / "t" / "run=3" / "part=1").mkdir(parents=True)
+    assert read_partitions(spark, base).count() == 5
+    wider = frame([(4, "D", 4, True)], schema + ", extra boolean")
+    assert rows_of(merge_partitions(wider, base, ["k"], "part"), "k", "v", "extra") == [
+        (1, "a", None), (2, "B", None), (3, "C", None), (4, "D", True), (5, "e", None)
+    ]
+    assert (tmp_path / "t" / "run=4" / "_SUCCESS").exists()
+    assert merge_partitions(wider.limit(0), base, ["k"], "part").count() == 5
