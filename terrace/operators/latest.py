@@ -47,3 +47,8 @@ def current_assignment(
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n_rows") -> DataFrame:
     """Keys held by more than one row, with their row counts."""
     return df.groupBy(*keys).agg(F.count("*").alias(count)).filter(F.col(count) > 1)
+
+
+def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in a stated order; each task keeps at most ``n`` of its rows."""
+    return df.orderBy(*order).limit(n)

@@ -33,7 +33,7 @@ from ..operators.history import (
 )
 from ..operators.incremental import apply_changes, change_report, incremental_slice, merge_upsert, number_from
 from ..operators.joins import hot_keys, left_join, point_in_time_join
-from ..operators.latest import best_per_key, current_assignment, dedupe_latest, duplicate_keys
+from ..operators.latest import best_per_key, current_assignment, dedupe_latest, duplicate_keys, preview
 from ..operators.shape import Level, conform, flatten_hierarchy, lookup_chain, prefix_columns
 from ..plans.dimensions import discount_tier
 from .registry import Tables, query
@@ -183,6 +183,25 @@ def order_prefixed_columns(t: Tables) -> DataFrame:
     )
 
 
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 10")
+def preview_customers(t: Tables) -> DataFrame:
+    return preview(t.customer.select("c_custkey", "c_name", "c_mktsegment"), 10, ["c_custkey"])
+
+
+@query("""
+SELECT CAST(max(c_custkey) AS BIGINT) AS max_key, count(*) FILTER (c_acctbal < 0) AS debtors,
+       count(c_mktsegment) AS with_segment, min(c_acctbal) AS lowest, max(c_acctbal) AS highest FROM customer
+""")
+def customer_high_water_mark(t: Tables) -> DataFrame:
+    return t.customer.agg(
+        F.coalesce(F.max("c_custkey"), F.lit(0)).alias("max_key"),
+        F.count_if(F.col("c_acctbal") < 0).alias("debtors"),
+        F.count("c_mktsegment").alias("with_segment"),
+        F.min("c_acctbal").alias("lowest"),
+        F.max("c_acctbal").alias("highest"),
+    )
+
+
 # --- column builders ---------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from fixture_tables import base_tables, line, order, write_landing
 from terrace.plans.warehouse import build, run
 from terrace.quality.checks import missing_unknown_member, negative_overhead, reconcile
 from terrace.quality.contracts import CONTRACTS
-from terrace.quality.suite import run_suite
+from terrace.quality.suite import ContractBroken, run_suite
 from terrace.sources.delimited import ingest_all
 
 AS_OF = "2013-01-15 00:00:00"
@@ -245,6 +245,37 @@ def test_hot_key_split_gives_the_same_fact(spark, landed, warehouse):
     assert rows_of(split.gold["fct_sales_detail"], *columns) == rows_of(plain, *columns)
 
 
+def clean_tables():
+    """The fixture without its defects."""
+    tables = base_tables()
+    tables["SalesOrderHeader"] = [
+        {**o, "RevisionNumber": 8} for o in tables["SalesOrderHeader"] if "ModifiedDate" not in o
+    ]
+    tables["SalesOrderDetail"] = [d for d in tables["SalesOrderDetail"] if d["SalesOrderID"] != 99]
+    tables["Customer"] = tables["Customer"][:3]
+    return tables
+
+
+def test_contracts_gate_the_run(spark, tmp_path):
+    folder = tmp_path / "clean"
+    folder.mkdir()
+    sound = ingest_all(spark, write_landing(folder, clean_tables()), AS_OF)
+    built = run(spark, sound, str(tmp_path / "wh"), AS_OF, initial_valid_from=BACKDATE, check=True)
+    assert built.gold["mart_sales_summary"].count() == 3
+
+
+def test_a_broken_contract_stops_the_run(spark, tmp_path):
+    folder = tmp_path / "broken"
+    folder.mkdir()
+    tables = clean_tables()
+    tables["SpecialOffer"][0]["DiscountPct"] = "1.5000"
+    landed = ingest_all(spark, write_landing(folder, tables), AS_OF)
+    with pytest.raises(ContractBroken, match="stg_special_offer.discount_pct value_between 0..1: 1"):
+        run(spark, landed, str(tmp_path / "wh"), AS_OF, check=True)
+    # only the merged staging tables were written, nothing built on the failed one
+    assert {p.name for p in (tmp_path / "wh").iterdir()} == {"stg_sales_order_header", "stg_sales_order_detail"}
+
+
 def test_missing_files_are_named_together(spark, tmp_path):
     folder = write_landing(tmp_path, base_tables())
     (tmp_path / "Person.csv").unlink()
