@@ -22,6 +22,8 @@ from .intermediate import FLAG_DEFAULTS
 
 FACT_KEY = "sales_order_line_sk"
 FACT_LOOKBACK_DAYS = 7
+# Line column -> its name on the fact, where they differ.
+FACT_NAMES = {"modified_at": "updated_at"}
 
 # fact foreign key -> (dimension, key on the line, business key of the dimension)
 VERSIONED = {
@@ -105,10 +107,12 @@ def fact_batch(
 ) -> DataFrame:
     """Fact rows of the lines inside the lookback window of ``target``; all lines on a first run.
 
-    The window follows the order date, so a correction to an order older than
-    the window does not reach the fact.
+    By default the window follows the order date, so a correction to an order
+    older than the window does not reach the fact; ``modified_at`` takes it.
     """
-    recent = incremental_slice(lines, target, lookback, lookback, FACT_LOOKBACK_DAYS)
+    recent = incremental_slice(
+        lines, target, lookback, FACT_NAMES.get(lookback, lookback), FACT_LOOKBACK_DAYS
+    )
     return sales_fact(recent, dims, hot_share)
 
 

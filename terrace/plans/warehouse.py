@@ -8,10 +8,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import moment
 from ..operators.incremental import merge_upsert
 from ..quality.suite import enforce, run_suite
 from ..sources.registry import SOURCES
-from ..sources.tables import merge_partitions, read_current, read_partitions, stored, write_version
+from ..sources.tables import (
+    merge_partitions,
+    read_current,
+    read_partitions,
+    stored,
+    write_partitions,
+    write_version,
+)
 from . import dimensions, history, intermediate, sales, staging
 
 HISTORIES = ("snap_product", "snap_employee", "snap_salesterritory")
@@ -61,6 +69,15 @@ MERGED = {
 }
 
 
+# Closed versions never change again, so a history is split by the second in which
+# a version was closed: a run writes the open versions and those it closed itself.
+CLOSED_AT = "closed_at"
+
+
+def _closed_at() -> Column:
+    return F.coalesce(F.unix_timestamp("valid_to"), F.lit(0))
+
+
 def build(
     landed: Mapping[str, DataFrame],
     as_of,
@@ -163,7 +180,8 @@ def run(
 
     Each stored table is read back after its write, which cuts the lineage of
     everything after it and lets Catalyst see its true size. A merge-loaded
-    table rewrites only the partitions its batch touches. With ``check`` the
+    table rewrites only the partitions its batch touches, a history only its
+    open versions and the ones closed by this run. With ``check`` the
     contracts of every table must hold before anything downstream is built.
     """
     from ..quality.contracts import CONTRACTS
@@ -172,6 +190,9 @@ def run(
         if name in MERGED:
             table = read_partitions(spark, f"{base}/{name}")
             return None if table is None else table.drop(MERGED[name].partition)
+        if name in HISTORIES:
+            table = read_partitions(spark, f"{base}/{name}")
+            return None if table is None else table.drop(CLOSED_AT)
         return read_current(spark, f"{base}/{name}")
 
     state = {name: table for name in STATE_TABLES if (table := read(name)) is not None}
@@ -189,7 +210,12 @@ def run(
             inspect({name: table})
         return table
 
+    closing = spark.range(1).select(F.unix_timestamp(moment(as_of))).first()[0]
+
     def keep(name: str, df: DataFrame) -> DataFrame:
+        if name in HISTORIES:
+            write_partitions(df.withColumn(CLOSED_AT, _closed_at()), f"{base}/{name}", CLOSED_AT, [0, closing])
+            return checked(name, read(name))
         return checked(name, write_version(df, f"{base}/{name}"))
 
     def merge(name: str, target: DataFrame | None, batch: DataFrame) -> DataFrame:

@@ -130,38 +130,46 @@ def read_partitions(spark: SparkSession, base: str) -> DataFrame | None:
     return reader.parquet(*newest.values()).drop(RUN_PREFIX.rstrip("="))
 
 
+def write_partitions(df: DataFrame, base: str, partition: str, values: Sequence[int]) -> DataFrame:
+    """Replace the partitions ``values`` by the rows ``df`` has for them; the others stay.
+
+    Each run writes to a directory of its own, which readers take up when Spark
+    has committed it: a run that loses executors or fails leaves the table as
+    it was. A replaced partition without rows is an empty directory of the run.
+    """
+    spark = df.sparkSession
+    _, _, last = _finished_partitions(spark, base)
+    folder = f"{base}/{RUN_PREFIX}{last + 1}"
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{partition}={value}")
+        path.getFileSystem(conf).mkdirs(path)
+    # Rebalancing keeps one partition in few files and splits one that is large.
+    balanced = df.filter(F.col(partition).isin(list(values))).hint("rebalance", F.col(partition))
+    balanced.write.mode("append").partitionBy(partition).parquet(folder)
+    return read_partitions(spark, base)
+
+
 def merge_partitions(updates: DataFrame, base: str, keys: Sequence[str], partition: str) -> DataFrame:
     """Keyed merge into a partitioned table that rewrites only the partitions it touches.
 
     Touched are the partitions of the batch and those that now hold one of its
     keys, so a row whose partition value changed leaves its old place; finding
-    them scans the key columns only. Each run writes its partitions to a
-    directory of its own, which readers take up when Spark has committed it: a
-    run that loses executors or fails leaves the table as it was. ``partition``
-    must not be NULL.
+    them scans the key columns only. ``partition`` is an integer, never NULL.
     """
-    spark = updates.sparkSession
-    target = read_partitions(spark, base)
-    _, _, last = _finished_partitions(spark, base)
-    folder = f"{base}/{RUN_PREFIX}{last + 1}"
+    target = read_partitions(updates.sparkSession, base)
+    touched = updates.select(partition)
     merged = updates
     if target is not None:
         held = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
-        # One small value per touched partition.
-        values = [r[0] for r in updates.select(partition).union(held).distinct().collect()]
-        if not values:
-            return target
-        merged = merge_upsert(target.filter(F.col(partition).isin(values)), updates, keys, check_unique=False)
-        # A touched partition without rows left is an empty directory of the new run.
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for value in values:
-            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{partition}={value}")
-            path.getFileSystem(conf).mkdirs(path)
-    # Rebalancing keeps one partition in few files and splits one that is large.
-    balanced = merged.hint("rebalance", F.col(partition))
-    balanced.write.mode("append").partitionBy(partition).parquet(folder)
-    return read_partitions(spark, base)
+        touched = touched.union(held)
+        merged = merge_upsert(target, updates, keys, check_unique=False)
+    # One small value per touched partition; the merge below reads no others.
+    values = [r[0] for r in touched.distinct().collect()]
+    if not values and target is not None:
+        return target
+    return write_partitions(merged, base, partition, values)
 
 
 def shared_folder(spark: SparkSession) -> str | None:

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows_of, ts
 from fixture_tables import base_tables, line, order, write_landing
 
+from terrace.plans.sales import fact_batch
 from terrace.plans.warehouse import build, run
 from terrace.quality.checks import missing_unknown_member, negative_overhead, reconcile
 from terrace.quality.contracts import CONTRACTS
@@ -230,6 +231,15 @@ def test_second_run_versions_changes_and_merges(spark, tmp_path):
     ]
     assert second.history["snap_employee"].count() == 2
 
+    # a third run closes nothing: it rewrites the open versions and keeps the closed ones
+    again = run(
+        spark, ingest_all(spark, str(second_folder), later), str(tmp_path / "wh"), "2013-09-01 00:00:00",
+    )
+    assert rows_of(again.history["snap_product"], "product_bk", "list_price", "valid_from", "valid_to") == versions
+    assert again.gold["fct_sales_detail"].count() == 6
+    closed = sorted(p.name for p in (tmp_path / "wh" / "snap_product").glob("run=*/closed_at=*") if any(p.iterdir()))
+    assert closed.count("closed_at=0") == 3 and len(closed) == 4
+
     fact = second.gold["fct_sales_detail"]
     assert fact.count() == 6
     priced = fact.join(second.gold["dim_product"], "product_sk").filter("sales_order_bk = 5")
@@ -238,6 +248,13 @@ def test_second_run_versions_changes_and_merges(spark, tmp_path):
     assert {r.order_status for r in old_flags.collect()} == {"Shipped"}
 
 
+def test_lookback_on_the_change_time_takes_late_corrections(warehouse):
+    gold, lines = warehouse.gold, warehouse.intermediate["int_sales_order_line_enriched"]
+    stored = gold["fct_sales_detail"]
+    assert fact_batch(lines, gold, stored).count() == 1  # order 2 is eight days older than order 3
+    assert fact_batch(lines, gold, stored, lookback="modified_at").count() == 5
+
+
 def test_hot_key_split_gives_the_same_fact(spark, landed, warehouse):
     split = build(landed, AS_OF, initial_valid_from=BACKDATE, hot_share=0.2)
     plain = warehouse.gold["fct_sales_detail"]
