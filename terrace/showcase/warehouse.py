@@ -19,7 +19,7 @@ from ..plans.staging import CUSTOMER_TYPE, ORDER_STATUS
 from ..quality import checks
 from ..quality.contracts import CONTRACTS
 from ..quality.suite import run_suite
-from ..sources.tables import stored
+from ..sources.tables import stored, stored_all
 from .operators import SHARE_SQL, date_dim_sql
 from .registry import Tables, query
 
@@ -422,7 +422,7 @@ def fact_dimensions(t: Tables) -> dict[str, DataFrame]:
     }
     return {
         "dim_customer": dimensions.key_view(customers, "customer_sk", "customer_bk"),
-        **{name: stored(dim, name) for name, dim in dims.items()},
+        **stored_all(dims),
     }
 
 
@@ -918,9 +918,13 @@ def contract_report_gold(t: Tables) -> DataFrame:
     """Declared checks of all gold tables on this warehouse: one row per check."""
     tables = {
         **fact_dimensions(t),
-        "dim_date": stored(dimensions.dim_date(stg_header(t)), "dim_date"),
-        "dim_customer": stored(customer_dimension(t), "dim_customer"),
-        "dim_special_offer": stored(offer_dimension(t), "dim_special_offer"),
+        **stored_all(
+            {
+                "dim_date": dimensions.dim_date(stg_header(t)),
+                "dim_customer": customer_dimension(t),
+                "dim_special_offer": offer_dimension(t),
+            }
+        ),
     }
     tables["fct_sales_detail"] = stored(fact(t, tables), "fct_sales_detail")
     tables["mart_sales_summary"] = stored(

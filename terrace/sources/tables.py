@@ -9,7 +9,8 @@ the previous version in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,3 +193,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def stored_all(frames: Mapping[str, DataFrame], threads: int = 4) -> dict[str, DataFrame]:
+    """``stored`` for independent tables, a few writes at a time so that small jobs overlap."""
+    with ThreadPoolExecutor(threads) as pool:
+        written = pool.map(lambda item: stored(item[1], item[0]), frames.items())
+        return dict(zip(frames, written))

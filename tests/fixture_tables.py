@@ -144,7 +144,7 @@ def base_tables():
         "ProductSubcategory": [{"ProductSubcategoryID": 31, "ProductCategoryID": 4, "Name": "Helmets",
                                 "rowguid": "PS31"}],
         "ProductCategory": [{"ProductCategoryID": 4, "Name": "Accessories", "rowguid": "PC4"}],
-        "Store": [{"BusinessEntityID": 201, "Name": "Bike World", "SalesPersonID": 274, "rowguid": "ST201"}],
+        "Store": [{"BusinessEntityID": 201, "Name": "Corner Shop", "SalesPersonID": 274, "rowguid": "ST201"}],
     }
 
 

@@ -133,7 +133,7 @@ def test_dimensions(warehouse):
     assert gold["dim_date"].count() == 1461 + 1
     assert gold["dim_customer"].count() == 5
     assert rows_of(gold["dim_customer"], "customer_bk", "customer_name")[:3] == [
-        (-1, "Unknown"), (1, "First101 B Last101 Jr."), (2, "Bike World")
+        (-1, "Unknown"), (1, "First101 B Last101 Jr."), (2, "Corner Shop")
     ]
     offers = gold["dim_special_offer"]
     got = rows_of(offers, "special_offer_bk", "discount_tier", "is_active", "eligible_product_count")
