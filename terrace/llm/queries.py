@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing, sharding
+from . import decontaminate, exact_dedup, mixing, near_dedup, quality, sharding, toxicity
 from .common import table
+from .samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,12 +86,63 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda k: array_to_string(words[k:k + 4], ' '))) AS shingle
+  FROM w WHERE len(words) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reach.doc_id, CASE WHEN reach.other = links.a THEN links.b ELSE links.a END
+  FROM reach JOIN links ON reach.other = links.a OR reach.other = links.b
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+
+@query(NEAR_SQL)
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+def judged(scores: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, folder, "labels"), toxicity.training_rows(4, 2))
+    return judged(toxicity.toxicity_scores(docs, model), 4, 2)
+
+
 @query()
 def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.hilbert_shards(table(spark, folder, "documents"), shards=16)
     return dealt.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query()
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    field = quality.fit_quality(docs, table(spark, folder, "labels"), quality.training_rows(5, 0))
+    return judged(quality.quality_scores(docs, field), 5, 0)
+
+
 LEAK_SQL = r"""
 WITH w AS (
   SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS words
