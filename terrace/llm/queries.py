@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing, near_dedup, quality, sharding, toxicity
+from . import decontaminate, exact_dedup, licenses, mixing, near_dedup, quality, repeats, sharding, templates, toxicity
 from .common import table
 from .samples import fold
 
@@ -86,6 +86,13 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query()
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.license_scan(table(spark, folder, "documents"))
+    labels = F.array_sort(F.array_union("base_labels", F.transform("spans", lambda s: s["label"])))
+    return found.withColumns({"labels": F.array_join(labels, ","), "base_labels": F.array_join("base_labels", ",")}).drop("spans")
+
+
 NEAR_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
@@ -114,6 +121,11 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+@query()
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.main_text(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def judged(scores: DataFrame, folds: int, held_out: int) -> DataFrame:
     return scores.select(
         "doc_id",
@@ -143,6 +155,11 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged(quality.quality_scores(docs, field), 5, 0)
 
 
+@query()
+def op9_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents"))
+
+
 LEAK_SQL = r"""
 WITH w AS (
   SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS words
