@@ -109,3 +109,12 @@ def mixed(
         "copies",
         (F.col("r.size") * F.col("copies")).alias("taken"),
     )
+
+
+def mix_rows(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source", **options) -> DataFrame:
+    """``docs`` as the mix takes them: each row as many times as ``mixed`` says, columns unchanged."""
+    drawn = mixed(docs, id_column=id_column, source_column=source_column, **options).where("copies > 0")
+    drawn = drawn.select(F.col(id_column).alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies")).distinct()
+    same = docs[id_column].eqNullSafe(drawn["__id"]) & docs[source_column].eqNullSafe(drawn["__source"])
+    repeated = docs.join(drawn, same).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return repeated.select(*[docs[c] for c in docs.columns])

@@ -131,3 +131,23 @@ def hilbert_shards(
             F.col("id").alias(id_column), "size", F.col("crc").alias("text_crc32"), "cell", "shard", F.col("slot").cast("long").alias("slot")
         )
     )
+
+
+def write_shards(docs: DataFrame, folder: str, shards: int = 16, id_column: str = "doc_id", text_column: str = "text", **options) -> None:
+    """Write ``docs`` as ``folder``/shard=n, rows in slot order, so that files hold narrow ranges of every dimension.
+
+    Rows find their slots by id, checksum and, among repeated rows, a number each. A
+    column of ``docs`` named shard gives way to the new one.
+    """
+    crc = F.crc32(F.encode(F.coalesce(F.col(text_column), F.lit("")), "UTF-8"))
+    dealt = hilbert_shards(docs, shards, id_column=id_column, text_column=text_column, **options)
+    dealt = dealt.select(
+        F.col(id_column).alias("__id"), F.col("text_crc32").alias("__crc"), "shard", F.col("slot").alias("__slot"),
+        F.row_number().over(Window.partitionBy(id_column, "text_crc32").orderBy("shard", "slot")).alias("__nth"),
+    )
+    nth = F.row_number().over(Window.partitionBy(id_column, "__crc0").orderBy("__crc0"))
+    rows = docs.withColumn("__crc0", crc).withColumn("__nth0", nth)
+    same = rows[id_column].eqNullSafe(dealt["__id"]) & (rows["__crc0"] == dealt["__crc"]) & (rows["__nth0"] == dealt["__nth"])
+    placed = rows.join(dealt, same).select(*[rows[c] for c in docs.columns if c != "shard"], dealt["shard"], "__slot")
+    placed = placed.repartition(shards, "shard").sortWithinPartitions("shard", "__slot")
+    placed.drop("__slot").write.partitionBy("shard").parquet(folder)
