@@ -8,16 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHARE_TYPE = "decimal(38,6)"
+# Amounts below 10^12 and weights below 10^13, in millionths: their product is exact.
+AMOUNT_UNITS, WEIGHT_UNITS = "decimal(18,0)", "decimal(19,0)"
 
 
-def line_ratio(weight: Column, total: Column) -> Column:
-    """A line's part of its order; NULL when the total is zero, negative or missing."""
-    return F.when(total > 0, weight / total)
-
-
-def line_share(amount: Column, ratio: Column) -> Column:
-    """``amount * ratio``; 0 where there is no ratio."""
-    return F.when(ratio.isNotNull(), amount * ratio).otherwise(F.lit(0)).cast(SHARE_TYPE)
+def _units(value: str, kind: str) -> Column:
+    return (F.col(value) * F.lit(1_000_000)).cast(kind)
 
 
 def allocate(
@@ -26,17 +22,45 @@ def allocate(
     key: str,
     weight: str,
     amounts: Mapping[str, str],
+    line_key: str,
 ) -> DataFrame:
     """Join lines to their header and split header ``amounts`` (output -> header column) by ``weight``.
 
-    Lines without a header are dropped. Line totals are aggregated (with map-side
-    partial sums) and attached to the headers first, so the lines themselves
-    are joined once and no order is ever gathered into one window frame.
+    A line gets ``amount * weight / total`` cut to millionths, and the line with the
+    smallest ``line_key`` of its order (unique there, a number) also what the cut left
+    over: shares sum back to the amount exactly, however many lines there are, and none
+    is negative unless the amount or a weight is. Lines without a header are dropped;
+    where the total is zero, negative or missing every share is 0, and so is the share
+    of a line without a weight.
+
+    Totals, shares and the line that takes the rest are aggregates with map-side
+    partial sums that are attached to the headers, so no order is ever gathered into
+    one window frame.
     """
-    totals = lines.groupBy(key).agg(F.sum(weight).alias("_total"))
-    priced = headers.join(totals, key)
-    # The ratio is a column of its own so that its wide division runs once per line.
-    joined = lines.join(priced, key).withColumn("_ratio", line_ratio(F.col(weight), F.col("_total")))
-    return joined.withColumns(
-        {name: line_share(F.col(amount), F.col("_ratio")) for name, amount in amounts.items()}
-    ).drop("_total", "_ratio")
+    weighed = F.when(F.col(weight).isNotNull(), F.col(line_key))
+    totals = lines.groupBy(key).agg(F.sum(weight).alias("_total"), F.min(weighed).alias("_rest_line"))
+    joined = lines.join(headers.join(totals, key), key)
+    shared = joined.withColumn("_total_units", F.when(F.col("_total") > 0, _units("_total", "decimal(38,0)")))
+    cut = {
+        name: F.expr(
+            f"coalesce(cast(`{amount}` * 1000000 as {AMOUNT_UNITS}) * cast(`{weight}` * 1000000 as {WEIGHT_UNITS})"
+            " div _total_units, 0L)"
+        )
+        for name, amount in amounts.items()
+    }
+    shared = shared.withColumns({f"_{name}": share for name, share in cut.items()})
+    given = shared.groupBy(F.col(key).alias("_given_key")).agg(
+        *[F.sum(f"_{name}").alias(f"_given_{name}") for name in amounts]
+    )
+    takes_rest = (F.col("_total") > 0) & (F.col(line_key) == F.col("_rest_line"))
+    millionth = F.lit("0.000001").cast("decimal(6,6)")
+
+    def share(name: str, amount: str) -> Column:
+        rest = F.coalesce(_units(amount, AMOUNT_UNITS), F.lit(0)) - F.col(f"_given_{name}")
+        units = F.col(f"_{name}") + F.when(takes_rest, rest).otherwise(F.lit(0))
+        return (units.cast("decimal(31,0)") * millionth).cast(SHARE_TYPE)
+
+    whole = shared.join(given, F.col(key) == F.col("_given_key"))
+    whole = whole.withColumns({name: share(name, amount) for name, amount in amounts.items()})
+    helpers = [f"_{name}" for name in amounts] + [f"_given_{name}" for name in amounts]
+    return whole.drop("_total", "_total_units", "_rest_line", "_given_key", *helpers)

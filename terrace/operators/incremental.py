@@ -13,10 +13,6 @@ from .latest import duplicate_keys
 BEGINNING = "0001-01-01 00:00:00"
 
 
-def is_empty(df: DataFrame | None) -> bool:
-    return df is None or df.isEmpty()
-
-
 def incremental_slice(
     src: DataFrame,
     target: DataFrame | None,
@@ -26,18 +22,22 @@ def incremental_slice(
 ) -> DataFrame:
     """Rows no older than the target's newest time minus ``days``; everything on a first run.
 
-    The cutoff is a scalar subquery compared with the bare column, so it is
-    pushed into the Parquet scan as a literal and prunes row groups. A target
-    whose times are all NULL gives no cutoff and lets every timed row through.
+    ``target`` is None on a first run. The cutoff is a scalar subquery compared with
+    the bare column, so it is pushed into the Parquet scan as a literal and prunes row
+    groups. A target whose times are all NULL gives no cutoff and lets every timed row
+    through; one without rows also takes the untimed rows.
     """
-    if is_empty(target):
+    if target is None:
         return src
     time_type = src.schema[src_time].dataType
     newest = F.max(target_time) - F.make_interval(days=F.lit(days))
     cutoff = target.agg(
         F.coalesce(newest.cast(time_type), F.lit(BEGINNING).cast(time_type)).alias("cutoff")
     ).scalar()
-    return src.filter(F.col(src_time) >= cutoff)
+    untimed = F.lit(BEGINNING).cast(time_type)
+    # The earliest of all times where the target is empty, NULL otherwise: a NULL time then passes or not.
+    stand_in = target.agg(F.when(F.count("*") == 0, untimed).alias("stand_in")).scalar()
+    return src.filter((F.col(src_time) >= cutoff) | (F.col(src_time).isNull() & stand_in.isNotNull()))
 
 
 class DuplicateKeys(ValueError):

@@ -168,8 +168,11 @@ class ContractBroken(ValueError):
 
 
 def enforce(report: DataFrame) -> None:
-    """Stop the branch when any check of a report found violations."""
-    failed = report.filter("violations > 0").orderBy("table_name", "column_name", "test").limit(50).collect()
+    """Stop the branch when any check of a report found violations.
+
+    A report has one row per declared check, so all that failed are named.
+    """
+    failed = report.filter("violations > 0").orderBy("table_name", "column_name", "test", "detail").collect()
     if failed:
         lines = [f"{r.table_name}.{r.column_name} {r.test} {r.detail}: {r.violations}" for r in failed]
         raise ContractBroken("; ".join(lines))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.staging import stage, stage_incremental
 from ..sources.delimited import read_delimited, with_loaded_at
 from ..sources.registry import SOURCES
-from ..sources.tables import shared_folder
+from ..sources.tables import new_folder
 from .registry import Tables, query
 
 LOADED = "2002-01-01 00:00:00"
@@ -271,11 +271,10 @@ FROM customer
 """)
 def ingest_delimited(t: Tables) -> DataFrame:
     """Customers written as a headerless '+|' text extract in the shared folder and landed again."""
-    folder = shared_folder(t.spark) or "/tmp/terrace"
-    path = f"{folder.rstrip('/')}/{t.spark.sparkContext.applicationId}/customer_extract"
+    path = new_folder(t.spark, "customer_extract")
     balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
     fields = [F.col("c_custkey").cast("string"), "c_name", "c_mktsegment", F.coalesce(balance, F.lit(""))]
-    t.customer.select(F.concat_ws("+|", *fields).alias("value")).write.mode("overwrite").text(path)
+    t.customer.select(F.concat_ws("+|", *fields).alias("value")).write.text(path)
     return with_loaded_at(
         read_delimited(t.spark, path, ["CustomerKey", "Name", "Segment", "Balance"], sep="+|"), LOADED
     )

@@ -458,34 +458,61 @@ def date_dim(t: Tables) -> DataFrame:
 
 # --- allocation ------------------------------------------------------------------------
 
-# Amounts in whole millionths so that every rounding step is exact integer arithmetic.
-SHARE_SQL = """
-CAST((CAST({amount} * 10000 AS HUGEINT) *
-      ((2 * CAST({weight} * 1000000 AS HUGEINT) * 1000000 + CAST({total} * 1000000 AS HUGEINT))
-       // (2 * CAST({total} * 1000000 AS HUGEINT))) + 5000) // 10000 AS DOUBLE) / 1000000
+# Shares in whole millionths, cut; the first line of an order also takes what is left.
+SHARE_SQL = """(CAST({amount} * 1000000 AS HUGEINT) * CAST({weight} * 1000000 AS HUGEINT)) // CAST({total} * 1000000 AS HUGEINT)"""
+REST_SQL = """
+CAST({share} + CASE WHEN {line} = min({line}) OVER (PARTITION BY {order})
+                    THEN CAST({amount} * 1000000 AS HUGEINT) - sum({share}) OVER (PARTITION BY {order}) ELSE 0 END AS DOUBLE) / 1000000
+"""
+LINE_ID_SQL = "CAST(l_linenumber AS BIGINT) * 10000000000000 + CAST(l_partkey AS BIGINT) * 1000000 + l_suppkey"
+
+ALLOCATED_SQL = f"""
+WITH l AS (SELECT l_orderkey, l_linenumber, {LINE_ID_SQL} AS line_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS w FROM lineitem),
+t AS (SELECT l_orderkey, sum(w) AS total FROM l GROUP BY l_orderkey),
+s AS (
+  SELECT l.*, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
+         {SHARE_SQL.format(amount="CAST(o_totalprice AS DECIMAL(12,2))", weight="l.w", total="t.total")} AS share
+  FROM l JOIN t ON t.l_orderkey = l.l_orderkey JOIN orders ON o_orderkey = l.l_orderkey),
+a AS (
+  SELECT l_orderkey, l_linenumber, CAST(w AS DOUBLE) AS line_total,
+         {REST_SQL.format(share="share", line="line_id", order="l_orderkey", amount="amount")} AS allocated_total
+  FROM s)
 """
 
 
-@query(f"""
-WITH l AS (SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS w FROM lineitem),
-t AS (SELECT l_orderkey, CAST(sum(w) AS DECIMAL(18,2)) AS total FROM l GROUP BY l_orderkey)
-SELECT l.l_orderkey, l.l_linenumber, CAST(l.w AS DOUBLE) AS line_total,
-       {SHARE_SQL.format(amount="CAST(o_totalprice AS DECIMAL(12,2))", weight="l.w", total="t.total")}
-       AS allocated_total
-FROM l JOIN t ON t.l_orderkey = l.l_orderkey JOIN orders ON o_orderkey = l.l_orderkey
-""")
-def allocate_overhead(t: Tables) -> DataFrame:
+def allocated_lines(t: Tables) -> DataFrame:
+    number = F.col("l_linenumber").cast("bigint") * 10_000_000_000_000 + F.col("l_partkey").cast("bigint") * 1_000_000
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order_bk"),
         "l_linenumber",
+        (number + F.col("l_suppkey")).alias("line_id"),
         F.col("l_extendedprice").cast("decimal(12,2)").cast("decimal(38,6)").alias("line_total"),
     )
     headers = t.orders.select(
         F.col("o_orderkey").alias("order_bk"),
-        F.col("o_totalprice").cast("decimal(19,4)").alias("header_total"),
+        F.col("o_totalprice").cast("decimal(12,2)").cast("decimal(19,4)").alias("header_total"),
+    )
+    return allocate(lines, headers, "order_bk", "line_total", {"allocated_total": "header_total"}, "line_id")
+
+
+@query(f"{ALLOCATED_SQL} SELECT * FROM a")
+def allocate_overhead(t: Tables) -> DataFrame:
+    return allocated_lines(t).select(
+        F.col("order_bk").alias("l_orderkey"), "l_linenumber", "line_total", "allocated_total"
+    )
+
+
+@query("""
+SELECT o_orderkey, n AS line_count, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS allocated_total
+FROM orders JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+""")
+def allocation_sums_back(t: Tables) -> DataFrame:
+    """The shares of every order against its own header amount."""
+    return (
+        allocated_lines(t)
+        .groupBy(F.col("order_bk").alias("o_orderkey"))
+        .agg(F.count("*").alias("line_count"), F.sum("allocated_total").cast("decimal(18,6)").alias("allocated_total"))
     )
-    shares = allocate(lines, headers, "order_bk", "line_total", {"allocated_total": "header_total"})
-    return shares.select(F.col("order_bk").alias("l_orderkey"), "l_linenumber", "line_total", "allocated_total")
 
 
 # --- incremental loads -------------------------------------------------------------------

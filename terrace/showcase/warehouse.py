@@ -20,7 +20,7 @@ from ..quality import checks
 from ..quality.contracts import CONTRACTS
 from ..quality.suite import run_suite
 from ..sources.tables import stored, stored_all
-from .operators import SHARE_SQL, date_dim_sql
+from .operators import REST_SQL, SHARE_SQL, date_dim_sql
 from .registry import Tables, query
 
 EMPLOYEE_BASE = 1_000_000_000
@@ -469,12 +469,17 @@ header AS (
 LINES_SQL = f"""
 {DETAIL_SQL}, {HEADER_SQL},
 totals AS (SELECT sales_order_bk, sum(line_total) AS total FROM detail GROUP BY sales_order_bk),
-enriched AS (
+shares AS (
   SELECT d.*, h.* EXCLUDE (sales_order_bk),
-         {SHARE_SQL.format(amount="h.freight", weight="d.line_total", total="t.total")} AS allocated_freight,
-         {SHARE_SQL.format(amount="h.tax_amount", weight="d.line_total", total="t.total")} AS allocated_tax
+         {SHARE_SQL.format(amount="h.freight", weight="d.line_total", total="t.total")} AS freight_share,
+         {SHARE_SQL.format(amount="h.tax_amount", weight="d.line_total", total="t.total")} AS tax_share
   FROM detail d JOIN header h ON h.sales_order_bk = d.sales_order_bk
-  JOIN totals t ON t.sales_order_bk = d.sales_order_bk)"""
+  JOIN totals t ON t.sales_order_bk = d.sales_order_bk),
+enriched AS (
+  SELECT * EXCLUDE (freight_share, tax_share),
+         {REST_SQL.format(share="freight_share", line="sales_order_detail_bk", order="sales_order_bk", amount="freight")} AS allocated_freight,
+         {REST_SQL.format(share="tax_share", line="sales_order_detail_bk", order="sales_order_bk", amount="tax_amount")} AS allocated_tax
+  FROM shares)"""
 
 PRODUCT_SQL = """
 product AS (

@@ -8,6 +8,7 @@ the previous version in place.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -88,6 +89,8 @@ def write_version(df: DataFrame, base: str) -> DataFrame:
 
 
 RUN_PREFIX = "run="
+# Holds a run's columns and types; readers of data skip names that begin so.
+SHAPE = "_shape"
 
 
 def _finished_partitions(spark: SparkSession, base: str) -> tuple[dict[str, str], list[str], int]:
@@ -120,13 +123,16 @@ def _finished_partitions(spark: SparkSession, base: str) -> tuple[dict[str, str]
 def read_partitions(spark: SparkSession, base: str) -> DataFrame | None:
     """A table of ``merge_partitions``: each partition from the newest finished run that holds it.
 
-    The newest run carries every column; partitions of older runs read the
-    columns they lack as NULL.
+    The newest run's columns, kept as a file without rows, are the table's;
+    partitions of older runs read the columns they lack as NULL. A table whose
+    runs hold no rows is empty, not missing.
     """
     newest, finished, _ = _finished_partitions(spark, base)
-    if not newest:
+    if not finished:
         return None
-    schema = spark.read.parquet(finished[-1]).schema
+    schema = spark.read.parquet(f"{finished[-1]}/{SHAPE}").schema
+    if not newest:
+        return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("basePath", base)
     return reader.parquet(*newest.values()).drop(RUN_PREFIX.rstrip("="))
 
@@ -146,6 +152,7 @@ def write_partitions(df: DataFrame, base: str, partition: str, values: Sequence[
     for value in values:
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{partition}={value}")
         path.getFileSystem(conf).mkdirs(path)
+    df.limit(0).write.parquet(f"{folder}/{SHAPE}")
     # Rebalancing keeps one partition in few files and splits one that is large.
     balanced = df.filter(F.col(partition).isin(list(values))).hint("rebalance", F.col(partition))
     balanced.write.mode("append").partitionBy(partition).parquet(folder)
@@ -170,12 +177,30 @@ def merge_partitions(updates: DataFrame, base: str, keys: Sequence[str], partiti
     values = [r[0] for r in touched.distinct().collect()]
     if not values and target is not None:
         return target
+    # A first batch without rows still writes the table's columns.
     return write_partitions(merged, base, partition, values)
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors reach, as the cluster names it; None where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, as ``spark.checkpoint.dir`` names it.
+
+    Only a local session may leave it unset; it then gets a temporary folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+        folder = tempfile.mkdtemp(prefix="terrace-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own under the shared folder, removed when the application ends."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -183,16 +208,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage, and the file sizes tell Catalyst how large the table
     really is: a small dimension is then broadcast from the start and the other
-    side of its join is never shuffled, a large one is not. Without a shared
-    folder the frame stays lazy.
+    side of its join is never shuffled, a large one is not.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stored_all(frames: Mapping[str, DataFrame], threads: int = 4) -> dict[str, DataFrame]:

@@ -165,8 +165,25 @@ def test_allocation(frame):
         "k int, line int, w decimal(38,6)",
     )
     heads = frame([(1, Decimal("10.01")), (2, Decimal("3"))], "k int, freight decimal(19,4)")
-    out = allocate(lines, heads, "k", "w", {"share": "freight"})
+    out = allocate(lines, heads, "k", "w", {"share": "freight"}, "line")
     assert dict(out.dtypes)["share"] == "decimal(38,6)"
     assert rows_of(out, "k", "line", "share") == [
         (1, 1, Decimal("1.001")), (1, 2, Decimal("2.002")), (1, 3, Decimal("7.007")), (2, 1, Decimal("0"))
     ]
+
+
+def test_allocation_of_a_large_order_returns_every_millionth(spark):
+    lines = spark.range(3_000_000).selectExpr("1 AS k", "id AS line", "cast(1 AS decimal(38,6)) AS w")
+    heads = spark.sql("SELECT 1 AS k, cast(1000 AS decimal(19,4)) AS freight")
+    out = allocate(lines, heads, "k", "w", {"share": "freight"}, "line")
+    total, least, largest = out.selectExpr("sum(share)", "min(share)", "max(share)").first()
+    assert total == 1000 and least == Decimal("0.000333") and largest == Decimal("1.000333")
+
+
+def test_allocation_of_missing_values(frame):
+    lines = frame([(1, 1, None), (1, 2, Decimal(3)), (1, 3, Decimal(4)), (2, 1, Decimal(1))], "k int, line int, w decimal(38,6)")
+    heads = frame([(1, Decimal("1")), (2, None)], "k int, freight decimal(19,4)")
+    out = allocate(lines, heads, "k", "w", {"share": "freight"}, "line")
+    assert rows_of(out, "k", "line", "share") == [
+        (1, 1, Decimal("0")), (1, 2, Decimal("0.428572")), (1, 3, Decimal("0.571428")), (2, 1, Decimal("0"))
+    ]
