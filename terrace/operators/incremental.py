@@ -22,10 +22,10 @@ def incremental_slice(
 ) -> DataFrame:
     """Rows no older than the target's newest time minus ``days``; everything on a first run.
 
-    ``target`` is None on a first run. The cutoff is a scalar subquery compared with
-    the bare column, so it is pushed into the Parquet scan as a literal and prunes row
-    groups. A target whose times are all NULL gives no cutoff and lets every timed row
-    through; one without rows also takes the untimed rows.
+    ``target`` is None on a first run, which also takes untimed rows; nothing is run to
+    find out. The cutoff is a scalar subquery compared with the bare column, so it is
+    pushed into the Parquet scan as a literal and prunes row groups. A target without
+    rows or times gives no cutoff and lets every timed row through.
     """
     if target is None:
         return src
@@ -34,10 +34,7 @@ def incremental_slice(
     cutoff = target.agg(
         F.coalesce(newest.cast(time_type), F.lit(BEGINNING).cast(time_type)).alias("cutoff")
     ).scalar()
-    untimed = F.lit(BEGINNING).cast(time_type)
-    # The earliest of all times where the target is empty, NULL otherwise: a NULL time then passes or not.
-    stand_in = target.agg(F.when(F.count("*") == 0, untimed).alias("stand_in")).scalar()
-    return src.filter((F.col(src_time) >= cutoff) | (F.col(src_time).isNull() & stand_in.isNotNull()))
+    return src.filter(F.col(src_time) >= cutoff)
 
 
 class DuplicateKeys(ValueError):

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.history import scd2_snapshot
+from ..sources.tables import stored
 
 
 @dataclass(frozen=True)
@@ -65,3 +66,15 @@ def snapshot(
     return scd2_snapshot(
         history, current.select(*tracked.columns), tracked.key, tracked.check, as_of, initial_valid_from
     )
+
+
+def fold_rounds(rounds, key: str, check, initial_valid_from=None, name: str = "history") -> DataFrame:
+    """The history after several (as_of, current state) rounds.
+
+    Each round is written before the next reads it, as between runs of a warehouse, so
+    the plan of a round does not hold the plans of those before.
+    """
+    history = None
+    for as_of, current in rounds:
+        history = stored(scd2_snapshot(history, current, key, check, as_of, initial_valid_from), name)
+    return history

@@ -98,6 +98,33 @@ def sales_fact(
     )
 
 
+ORDER = "sales_order_bk"
+ORDER_BLOCK = "order_block"
+
+
+def recent_orders(
+    header: DataFrame, detail: DataFrame, target: DataFrame | None, lookback: str = "order_date"
+) -> tuple[DataFrame, DataFrame]:
+    """Headers and all their lines, of the orders inside the lookback window of ``target``.
+
+    The window is cut before anything is joined or totalled: from the headers by order
+    date, or from the lines by another ``lookback`` column. Where both tables are stored
+    by order block, the window's blocks (one small value each) become partition filters
+    of both scans. On a first run everything is recent.
+    """
+    if target is None:
+        return header, detail
+    by_header = lookback not in FACT_NAMES  # the time of change is the line's
+    dated = header if by_header else detail
+    recent = incremental_slice(dated, target, lookback, FACT_NAMES.get(lookback, lookback), FACT_LOOKBACK_DAYS)
+    if ORDER_BLOCK in header.columns and ORDER_BLOCK in detail.columns:
+        blocks = sorted(r[0] for r in recent.select(ORDER_BLOCK).distinct().collect())
+        header, detail, recent = (t.filter(F.col(ORDER_BLOCK).isin(blocks)) for t in (header, detail, recent))
+    orders = recent.select(ORDER).distinct()
+    chosen = recent if by_header else header.join(orders, ORDER, "left_semi")
+    return chosen, detail.join(orders, ORDER, "left_semi")
+
+
 def fact_batch(
     lines: DataFrame,
     dims: Mapping[str, DataFrame],

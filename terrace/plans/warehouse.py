@@ -13,6 +13,7 @@ from ..operators.incremental import merge_upsert
 from ..quality.suite import enforce, run_suite
 from ..sources.registry import SOURCES
 from ..sources.tables import (
+    holds_partitions,
     merge_partitions,
     read_current,
     read_partitions,
@@ -58,14 +59,11 @@ def _order_block() -> Column:
     return F.floor(F.coalesce(F.col("sales_order_bk"), F.lit(-1)) / 1_000_000).cast("int")
 
 
-def _order_month() -> Column:
-    return F.coalesce(F.year("order_date") * 100 + F.month("order_date"), F.lit(0)).cast("int")
-
-
+# All three are split by their order, which their keys contain, so no row ever moves.
 MERGED = {
     "stg_sales_order_header": Merged(("sales_order_bk",), "order_block", _order_block),
     "stg_sales_order_detail": Merged(("sales_order_line_bk",), "order_block", _order_block),
-    "fct_sales_detail": Merged((sales.FACT_KEY,), "order_month", _order_month),
+    "fct_sales_detail": Merged((sales.FACT_KEY,), "order_block", _order_block),
 }
 
 
@@ -101,10 +99,12 @@ def build(
     w = Warehouse(dict(landed))
     inspect(w.landed)
     w.staging = staging.stage_views(landed)
+    orders: dict[str, DataFrame] = {}  # with their partition column, where they are stored
     for source in ("SalesOrderHeader", "SalesOrderDetail"):
         name = SOURCES[source].staged_as
         batch = staging.staged_batch(source, landed[source], state.get(name))
-        w.staging[name] = merge(name, state.get(name), batch)
+        orders[name] = merge(name, state.get(name), batch)
+        w.staging[name] = orders[name].drop(MERGED[name].partition)
     s = w.staging
     inspect(s)
 
@@ -157,10 +157,13 @@ def build(
         w.gold[name] = keep(name, dim)
 
     stored_fact = state.get("fct_sales_detail")
-    batch = sales.fact_batch(
-        mid["int_sales_order_line_enriched"], w.gold, stored_fact, hot_share=hot_share
+    header, detail = sales.recent_orders(
+        orders["stg_sales_order_header"], orders["stg_sales_order_detail"], stored_fact
     )
-    w.gold["fct_sales_detail"] = merge("fct_sales_detail", stored_fact, batch)
+    recent = intermediate.order_lines_enriched(detail, header, s["stg_ship_method"], s["stg_credit_card"])
+    batch = sales.fact_batch(recent, w.gold, stored_fact, hot_share=hot_share)
+    merged = merge("fct_sales_detail", stored_fact, batch)
+    w.gold["fct_sales_detail"] = merged.drop(MERGED["fct_sales_detail"].partition)
     w.gold["mart_sales_summary"] = keep(
         "mart_sales_summary", sales.sales_mart(w.gold["fct_sales_detail"], w.gold)
     )
@@ -186,16 +189,27 @@ def run(
     """
     from ..quality.contracts import CONTRACTS
 
+    closing = spark.range(1).select(F.unix_timestamp(moment(as_of))).first()[0]
+
     def read(name: str) -> DataFrame | None:
         if name in MERGED:
-            table = read_partitions(spark, f"{base}/{name}")
-            return None if table is None else table.drop(MERGED[name].partition)
+            return read_partitions(spark, f"{base}/{name}")
         if name in HISTORIES:
             table = read_partitions(spark, f"{base}/{name}")
             return None if table is None else table.drop(CLOSED_AT)
         return read_current(spark, f"{base}/{name}")
 
-    state = {name: table for name in STATE_TABLES if (table := read(name)) is not None}
+    def read_state(name: str) -> DataFrame | None:
+        """What this run changes or looks back at: of a history the open versions, and those closed at its own time.
+
+        A merged table that never got a row is as good as none: the next run is its first.
+        """
+        if name not in HISTORIES:
+            return read(name) if holds_partitions(spark, f"{base}/{name}") else None
+        table = read_partitions(spark, f"{base}/{name}")
+        return None if table is None else table.filter(F.col(CLOSED_AT).isin(0, closing)).drop(CLOSED_AT)
+
+    state = {name: table for name in STATE_TABLES if (table := read_state(name)) is not None}
     done: dict[str, DataFrame] = {}
 
     def inspect(tables: Mapping[str, DataFrame]) -> None:
@@ -210,8 +224,6 @@ def run(
             inspect({name: table})
         return table
 
-    closing = spark.range(1).select(F.unix_timestamp(moment(as_of))).first()[0]
-
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name in HISTORIES:
             write_partitions(df.withColumn(CLOSED_AT, _closed_at()), f"{base}/{name}", CLOSED_AT, [0, closing])
@@ -222,7 +234,7 @@ def run(
         how = MERGED[name]
         # The batch is read several times by the merge.
         split = stored(batch.withColumn(how.partition, how.partition_value()), f"{name}_batch")
-        merge_partitions(split, f"{base}/{name}", how.keys, how.partition)
-        return checked(name, read(name))
+        merged = merge_partitions(split, f"{base}/{name}", how.keys, how.partition)
+        return checked(name, merged)
 
     return build(landed, as_of, state, initial_valid_from, keep, merge, inspect, hot_share)

@@ -29,13 +29,13 @@ from ..operators.history import (
     open_versions,
     scd2_dimension,
     scd2_history,
-    scd2_snapshot,
 )
 from ..operators.incremental import apply_changes, change_report, incremental_slice, merge_upsert, number_from
 from ..operators.joins import hot_keys, left_join, point_in_time_join
 from ..operators.latest import best_per_key, current_assignment, dedupe_latest, duplicate_keys, preview
 from ..operators.shape import Level, conform, flatten_hierarchy, lookup_chain, prefix_columns
 from ..plans.dimensions import discount_tier
+from ..plans.history import fold_rounds
 from .registry import Tables, query
 
 STATUS = {"F": "Fulfilled", "O": "Open", "P": "Partial"}
@@ -689,10 +689,7 @@ def part_history(t: Tables) -> DataFrame:
         (WITHDRAW, repriced.filter("size > 5")),
         (RETURN, repriced.filter("size > 3")),
     ]
-    history = None
-    for as_of, current in rounds:
-        history = scd2_snapshot(history, current, "part_bk", check, as_of, FIRST)
-    return history
+    return fold_rounds(rounds, "part_bk", check, FIRST, "part_history")
 
 
 HISTORY_SQL = """

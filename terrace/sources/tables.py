@@ -137,6 +137,11 @@ def read_partitions(spark: SparkSession, base: str) -> DataFrame | None:
     return reader.parquet(*newest.values()).drop(RUN_PREFIX.rstrip("="))
 
 
+def holds_partitions(spark: SparkSession, base: str) -> bool:
+    """Whether any finished run wrote a partition; a first load of nothing did not."""
+    return bool(_finished_partitions(spark, base)[0])
+
+
 def write_partitions(df: DataFrame, base: str, partition: str, values: Sequence[int]) -> DataFrame:
     """Replace the partitions ``values`` by the rows ``df`` has for them; the others stay.
 
@@ -159,25 +164,27 @@ def write_partitions(df: DataFrame, base: str, partition: str, values: Sequence[
     return read_partitions(spark, base)
 
 
-def merge_partitions(updates: DataFrame, base: str, keys: Sequence[str], partition: str) -> DataFrame:
+def merge_partitions(
+    updates: DataFrame, base: str, keys: Sequence[str], partition: str, rows_move: bool = False
+) -> DataFrame:
     """Keyed merge into a partitioned table that rewrites only the partitions it touches.
 
-    Touched are the partitions of the batch and those that now hold one of its
-    keys, so a row whose partition value changed leaves its old place; finding
-    them scans the key columns only. ``partition`` is an integer, never NULL.
+    ``partition`` is an integer, never NULL. Where it follows from the key, the batch's
+    own partitions are the touched ones and no other is read. Otherwise pass
+    ``rows_move``: the partitions that now hold one of the batch's keys are rewritten
+    too, which scans the key columns of the whole table.
     """
     target = read_partitions(updates.sparkSession, base)
     touched = updates.select(partition)
-    merged = updates
-    if target is not None:
-        held = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
-        touched = touched.union(held)
-        merged = merge_upsert(target, updates, keys, check_unique=False)
+    if target is not None and rows_move:
+        touched = touched.union(target.join(updates.select(*keys), list(keys), "left_semi").select(partition))
     # One small value per touched partition; the merge below reads no others.
-    values = [r[0] for r in touched.distinct().collect()]
-    if not values and target is not None:
+    values = sorted(r[0] for r in touched.distinct().collect())
+    if target is None:
+        return write_partitions(updates, base, partition, values)  # also without rows: the table's columns
+    if not values:
         return target
-    # A first batch without rows still writes the table's columns.
+    merged = merge_upsert(target.filter(F.col(partition).isin(values)), updates, keys, check_unique=False)
     return write_partitions(merged, base, partition, values)
 
 

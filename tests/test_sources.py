@@ -11,6 +11,7 @@ from terrace.sources.tables import (
     read_partitions,
     save_overwrite,
     source,
+    write_partitions,
     write_version,
 )
 
@@ -73,9 +74,10 @@ def test_merge_rewrites_only_touched_partitions(spark, frame, tmp_path):
     schema = "k int, v string, part int"
     merge_partitions(frame([(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", 4)], schema), base, ["k"], "part")
     # 2 changes, 3 moves and leaves its partition empty, 5 is new
-    merged = merge_partitions(frame([(2, "B", 2), (3, "C", 5), (5, "e", 2)], schema), base, ["k"], "part")
+    changes = frame([(2, "B", 2), (3, "C", 5), (5, "e", 2)], schema)
+    merged = merge_partitions(changes, base, ["k"], "part", rows_move=True)
     assert rows_of(merged, "k", "v", "part") == [(1, "a", 1), (2, "B", 2), (3, "C", 5), (4, "d", 4), (5, "e", 2)]
-    touched = {p.name for p in (tmp_path / "t" / "run=2").iterdir() if p.is_dir()}
+    touched = {p.name for p in (tmp_path / "t" / "run=2").iterdir() if "=" in p.name}
     assert touched == {"part=2", "part=3", "part=5"}
     # a run that did not finish is invisible, and its number is not used again
     (tmp_path / "t" / "run=3" / "part=1").mkdir(parents=True)
@@ -86,3 +88,24 @@ def test_merge_rewrites_only_touched_partitions(spark, frame, tmp_path):
     ]
     assert (tmp_path / "t" / "run=4" / "_SUCCESS").exists()
     assert merge_partitions(wider.limit(0), base, ["k"], "part").count() == 5
+
+
+def test_merge_reads_no_other_partition_where_keys_fix_it(spark, frame, tmp_path):
+    base = str(tmp_path / "t")
+    schema = "k int, v string, part int"
+    merge_partitions(frame([(1, "a", 1), (2, "b", 2)], schema), base, ["k"], "part")
+    merged = merge_partitions(frame([(2, "B", 2)], schema), base, ["k"], "part")
+    assert rows_of(merged, "k", "v", "part") == [(1, "a", 1), (2, "B", 2)]
+    assert {p.name for p in (tmp_path / "t" / "run=2").iterdir() if p.is_dir() and "=" in p.name} == {"part=2"}
+
+
+def test_empty_first_batch_and_empty_partitions(spark, frame, tmp_path):
+    base, schema = str(tmp_path / "t"), "k int, v string, part int"
+    assert read_partitions(spark, base) is None
+    first = merge_partitions(frame([], schema), base, ["k"], "part")
+    assert first.columns == ["k", "v", "part"] and first.count() == 0
+    assert read_partitions(spark, base).dtypes == first.dtypes
+    second = merge_partitions(frame([(1, "a", 3)], schema), base, ["k"], "part")
+    assert rows_of(second, "k", "v", "part") == [(1, "a", 3)]
+    assert write_partitions(frame([], schema), base, "part", [3]).count() == 0
+    assert read_partitions(spark, base).count() == 0

@@ -6,12 +6,14 @@ import pytest
 from conftest import rows_of, ts
 from fixture_tables import base_tables, line, order, write_landing
 
-from terrace.plans.sales import fact_batch
+from terrace.plans.history import fold_rounds
+from terrace.plans.sales import fact_batch, recent_orders
 from terrace.plans.warehouse import build, run
 from terrace.quality.checks import missing_unknown_member, negative_overhead, reconcile
 from terrace.quality.contracts import CONTRACTS
 from terrace.quality.suite import ContractBroken, run_suite
 from terrace.sources.delimited import ingest_all
+from terrace.sources.tables import read_partitions
 
 AS_OF = "2013-01-15 00:00:00"
 BACKDATE = "1900-01-01 00:00:00"
@@ -299,3 +301,51 @@ def test_missing_files_are_named_together(spark, tmp_path):
     (tmp_path / "Store.csv").unlink()
     with pytest.raises(FileNotFoundError, match="2 of 22 .*Person, Store"):
         ingest_all(spark, folder, AS_OF)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df):
+    return [line for line in plan(df).splitlines() if "FileScan" in line]
+
+
+def test_increments_read_their_slice(spark, tmp_path):
+    folder, base = tmp_path / "in", str(tmp_path / "wh")
+    folder.mkdir()
+    run(spark, ingest_all(spark, write_landing(folder, base_tables()), AS_OF), base, AS_OF, initial_valid_from=BACKDATE)
+    header, detail, fact = (
+        read_partitions(spark, f"{base}/{n}") for n in ("stg_sales_order_header", "stg_sales_order_detail", "fct_sales_detail")
+    )
+    recent_header, recent_detail = recent_orders(header, detail, fact)
+    assert rows_of(recent_header, "sales_order_bk") == [(3,), (4,)] and recent_detail.count() == 1
+    for part in (recent_header, recent_detail):
+        filters = [line.split("PartitionFilters:")[1].split("PushedFilters")[0] for line in scans(part)]
+        assert any("order_block" in f for f in filters)
+    again = recent_orders(header, detail, fact, lookback="modified_at")
+    assert again[0].count() >= recent_header.count()
+
+    # the next run's snapshot reads open versions, and its write holds no older closed ones
+    history = read_partitions(spark, f"{base}/snap_product")
+    open_rows = history.filter("closed_at IN (0, 1)")
+    assert all("closed_at" in line.split("PartitionFilters:")[1].split("PushedFilters")[0] for line in scans(open_rows))
+
+
+def test_run_on_empty_sources(spark, tmp_path):
+    folder, base = tmp_path / "empty", str(tmp_path / "wh")
+    folder.mkdir()
+    nothing = ingest_all(spark, write_landing(folder, base_tables()), AS_OF)
+    nothing = {name: table.limit(0) for name, table in nothing.items()}
+    first = run(spark, nothing, base, AS_OF)
+    assert first.gold["fct_sales_detail"].count() == 0 and first.history["snap_product"].count() == 0
+    filled = ingest_all(spark, str(folder), AS_OF)
+    second = run(spark, filled, base, "2014-07-01 00:00:00")
+    assert second.gold["fct_sales_detail"].count() == 5 and second.history["snap_product"].count() == 3
+
+
+def test_planned_scans_of_a_fold_do_not_double(spark, frame):
+    rounds = [(f"20{10 + k}-01-01 00:00:00", frame([(1, k), (2, 0)], "k int, v int")) for k in range(6)]
+    counts = [plan(fold_rounds(rounds[:n], "k", ["v"])).count("FileScan") for n in range(1, 7)]
+    assert counts == [1] * 6
+    assert fold_rounds(rounds, "k", ["v"]).count() == 7
