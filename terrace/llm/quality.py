@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -276,8 +277,6 @@ def quality_scores(docs: DataFrame, field: LineField, id_column: str = "doc_id",
 
 def quality_column(field: LineField, text: Column) -> Column:
     """The score as a column, for filters that keep whole rows."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([field.score(t or b"") for t in texts], dtype="float64")
