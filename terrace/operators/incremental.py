@@ -71,22 +71,25 @@ def merge_upsert(
     )
 
 
-def number_from(df: DataFrame, order: str, start: Column, name: str, width: int = 1_000_000) -> DataFrame:
+def number_from(df: DataFrame, order: str, start: Column, name: str, blocks: int = 256) -> DataFrame:
     """Consecutive numbers ``start + 1, start + 2, ...`` in the order of a unique integer column.
 
-    Rows are numbered inside blocks of ``width`` order values and offset by the
-    block totals before them. A block holds at most ``width`` rows, and only
-    one small row per block passes through the running total.
+    Rows are numbered inside ``blocks`` ranges of about equally many rows, cut at
+    quantiles, and offset by the totals of the ranges before. However sparse the values
+    are, only one small row per range passes through the running total.
     """
-    blocks = df.withColumn("_block", F.floor(F.col(order) / F.lit(width)).cast("bigint"))
-    sizes = blocks.groupBy(F.col("_block").alias("_size_block")).agg(F.count("*").alias("_size"))
+    steps = F.array(*[F.lit(k / blocks) for k in range(1, blocks)])
+    cuts = df.agg(F.percentile_approx(order, steps, F.lit(100 * blocks)).alias("cuts")).scalar()
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
+    numbered = df.withColumn("_cuts", cuts).withColumn("_block", below).drop("_cuts")
+    sizes = numbered.groupBy(F.col("_block").alias("_size_block")).agg(F.count("*").alias("_size"))
     before = Window.orderBy("_size_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_size_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     inside = F.row_number().over(Window.partitionBy("_block").orderBy(order))
     return (
-        blocks.withColumn("_place", inside)
+        numbered.withColumn("_place", inside)
         .join(offsets, F.col("_block") == F.col("_size_block"))
         .withColumn(name, start + F.col("_offset") + F.col("_place"))
         .drop("_block", "_size_block", "_offset", "_place")

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import moment
 from ..operators.incremental import merge_upsert
+from ..quality import checks
 from ..quality.suite import enforce, run_suite
-from ..sources.registry import SOURCES
+from ..sources.registry import SOURCES, freshness_hours
 from ..sources.tables import (
     holds_partitions,
     merge_partitions,
@@ -36,6 +38,7 @@ class Warehouse:
     intermediate: dict[str, DataFrame] = field(default_factory=dict)
     history: dict[str, DataFrame] = field(default_factory=dict)
     gold: dict[str, DataFrame] = field(default_factory=dict)
+    warnings: list[str] = field(default_factory=list)
 
     @property
     def state(self) -> dict[str, DataFrame]:
@@ -170,6 +173,30 @@ def build(
     return w
 
 
+class StaleSource(ValueError):
+    """A source is older than its error level allows."""
+
+
+def freshness_report(landed: Mapping[str, DataFrame], as_of) -> DataFrame:
+    """One row per source with declared levels: table_name, max_loaded_at, age_seconds, status."""
+    levels = {name: freshness_hours(name) for name in landed}
+    rows = [
+        checks.freshness(landed[name], "LoadedAt", as_of, *hours).select(F.lit(name).alias("table_name"), "*")
+        for name, hours in levels.items()
+        if hours is not None
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def require_fresh(report: DataFrame) -> list[str]:
+    """Stop on sources at error level; return those at warn level. One row per source is collected."""
+    status = {r["table_name"]: r["status"] for r in report.collect()}
+    stale = sorted(name for name, level in status.items() if level == "error")
+    if stale:
+        raise StaleSource(f"sources past their error level: {', '.join(stale)}")
+    return sorted(name for name, level in status.items() if level == "warn")
+
+
 def run(
     spark: SparkSession,
     landed: Mapping[str, DataFrame],
@@ -184,8 +211,9 @@ def run(
     Each stored table is read back after its write, which cuts the lineage of
     everything after it and lets Catalyst see its true size. A merge-loaded
     table rewrites only the partitions its batch touches, a history only its
-    open versions and the ones closed by this run. With ``check`` the
-    contracts of every table must hold before anything downstream is built.
+    open versions and the ones closed by this run. With ``check`` the sources
+    must be fresh (``warnings`` names those at warn level) and the contracts of
+    every table must hold before anything downstream is built.
     """
     from ..quality.contracts import CONTRACTS
 
@@ -237,4 +265,7 @@ def run(
         merged = merge_partitions(split, f"{base}/{name}", how.keys, how.partition)
         return checked(name, merged)
 
-    return build(landed, as_of, state, initial_valid_from, keep, merge, inspect, hot_share)
+    warnings = require_fresh(freshness_report(landed, as_of)) if check else []
+    built = build(landed, as_of, state, initial_valid_from, keep, merge, inspect, hot_share)
+    built.warnings = warnings
+    return built

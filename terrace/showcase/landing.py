@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage, stage_incremental
-from ..sources.delimited import read_delimited, with_loaded_at
+from ..sources.delimited import land, landing_file, read_delimited, with_loaded_at
 from ..sources.registry import SOURCES
 from ..sources.tables import new_folder
-from .registry import Tables, query
+from .registry import ORACLES, Tables, query
 
 LOADED = "2002-01-01 00:00:00"
 PADDING = ".000000000"
@@ -144,17 +144,8 @@ def stage_order_detail(t: Tables) -> DataFrame:
     return stage("SalesOrderDetail", extract)
 
 
-@query("""
-SELECT CAST(c_custkey AS INTEGER) AS customer_bk, CAST(person AS INTEGER) AS person_bk, CAST(store AS INTEGER) AS store_bk,
-       c_nationkey AS sales_territory_bk, 'AW' || right(c_name, 8) AS account_number,
-       CASE WHEN person IS NOT NULL AND store IS NOT NULL THEN 'StoreContact' WHEN person IS NOT NULL THEN 'Individual'
-            WHEN store IS NOT NULL THEN 'Store' ELSE 'Unknown' END AS customer_type,
-       md5(c_name) AS row_guid, TIMESTAMP '2001-01-01' AS modified_at
-FROM (SELECT *, CASE WHEN c_acctbal >= 0 THEN c_custkey END AS person,
-             CASE WHEN c_nationkey < 8 THEN c_custkey END AS store FROM customer)
-""")
-def stage_customer(t: Tables) -> DataFrame:
-    extract = landed(
+def customer_extract(t: Tables) -> DataFrame:
+    return landed(
         t.customer,
         "Customer",
         {
@@ -167,7 +158,31 @@ def stage_customer(t: Tables) -> DataFrame:
             "ModifiedDate": F.lit("2001-01-01 00:00:00" + PADDING + "&|"),
         },
     )
-    return stage("Customer", extract)
+
+
+@query("""
+SELECT CAST(c_custkey AS INTEGER) AS customer_bk, CAST(person AS INTEGER) AS person_bk, CAST(store AS INTEGER) AS store_bk,
+       c_nationkey AS sales_territory_bk, 'AW' || right(c_name, 8) AS account_number,
+       CASE WHEN person IS NOT NULL AND store IS NOT NULL THEN 'StoreContact' WHEN person IS NOT NULL THEN 'Individual'
+            WHEN store IS NOT NULL THEN 'Store' ELSE 'Unknown' END AS customer_type,
+       md5(c_name) AS row_guid, TIMESTAMP '2001-01-01' AS modified_at
+FROM (SELECT *, CASE WHEN c_acctbal >= 0 THEN c_custkey END AS person,
+             CASE WHEN c_nationkey < 8 THEN c_custkey END AS store FROM customer)
+""")
+def stage_customer(t: Tables) -> DataFrame:
+    return stage("Customer", customer_extract(t))
+
+
+@query(ORACLES["stage_customer"])
+def land_and_stage_customer(t: Tables) -> DataFrame:
+    """The extract as a delimited file, landed once as a stored table, scanned and staged."""
+    folder = new_folder(t.spark, "landing")
+    spec = SOURCES["Customer"]
+    text = customer_extract(t).select(*spec.columns)
+    text.write.csv(landing_file(folder, "Customer"), sep=spec.separator, nullValue="", emptyValue="")
+    stored_tables = land(t.spark, folder, f"{folder}/landed", LOADED, ["Customer"])
+    return stage("Customer", stored_tables["Customer"])
+
 
 
 @query("""

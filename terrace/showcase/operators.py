@@ -562,7 +562,7 @@ SELECT s_suppkey, CAST((SELECT max(c_custkey) FROM customer) + row_number() OVER
 """)
 def number_new_suppliers(t: Tables) -> DataFrame:
     top = t.customer.agg(F.max("c_custkey").alias("k")).scalar()
-    return number_from(t.supplier.select("s_suppkey"), "s_suppkey", top, "new_key", width=64)
+    return number_from(t.supplier.select("s_suppkey"), "s_suppkey", top, "new_key", blocks=16)
 
 
 CHANGE_TIME = "2002-01-01 00:00:00"

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import moment
 from .registry import SOURCES, SourceTable
+from .tables import save_overwrite, source
 
 
 def string_schema(columns: Iterable[str]) -> T.StructType:
@@ -70,3 +71,13 @@ def ingest_all(
             f"{len(absent)} of {len(tables)} source files missing under {landing}: {', '.join(absent)}"
         )
     return {t: ingest(spark, t, landing_file(landing, t), as_of) for t in tables}
+
+
+def land(
+    spark: SparkSession, landing: str, base: str, as_of, tables: Iterable[str] = SOURCES
+) -> dict[str, DataFrame]:
+    """Land every source once as a stored all-text table under ``base``; later readers scan those, not the text."""
+    landed = ingest_all(spark, landing, as_of, tables)
+    for name, df in landed.items():
+        save_overwrite(df, f"{base}/{name}")
+    return {name: source(spark, f"{base}/{name}") for name in landed}

@@ -57,9 +57,9 @@ def test_slice_pushes_the_cutoff_into_the_scan(spark, frame, tmp_path):
 
 
 def test_numbers_are_dense_across_blocks(spark):
-    picked = [3, 4, 9, 10, 11, 25, 26, 99]
+    picked = [3, 4, 9, 10, 11, 25, 26, 99, 2**60, 2**61 + 7]
     df = spark.createDataFrame([(p,) for p in picked], "seq bigint")
-    out = number_from(df, "seq", F.lit(100), "id", width=5)
+    out = number_from(df, "seq", F.lit(100), "id", blocks=4)
     assert rows_of(out.orderBy("seq"), "seq", "id") == sorted(
         [(p, 101 + i) for i, p in enumerate(picked)], key=lambda r: tuple((False, str(v)) for v in r)
     )

@@ -8,7 +8,7 @@ from fixture_tables import base_tables, line, order, write_landing
 
 from terrace.plans.history import fold_rounds
 from terrace.plans.sales import fact_batch, recent_orders
-from terrace.plans.warehouse import build, run
+from terrace.plans.warehouse import StaleSource, build, freshness_report, require_fresh, run
 from terrace.quality.checks import missing_unknown_member, negative_overhead, reconcile
 from terrace.quality.contracts import CONTRACTS
 from terrace.quality.suite import ContractBroken, run_suite
@@ -295,6 +295,16 @@ def test_a_broken_contract_stops_the_run(spark, tmp_path):
     assert {p.name for p in (tmp_path / "wh").iterdir()} == {"stg_sales_order_header", "stg_sales_order_detail"}
 
 
+def test_stale_sources_stop_the_run(spark, landed):
+    levels = {r.table_name: r.status for r in freshness_report(landed, "2013-01-16 12:00:00").collect()}
+    assert set(levels.values()) == {"warn", "pass"} and "Customer" in levels
+    assert "Customer" in require_fresh(freshness_report(landed, "2013-01-16 12:00:00"))
+    with pytest.raises(StaleSource, match="Customer"):
+        require_fresh(freshness_report(landed, "2013-01-18 00:00:00"))
+    with pytest.raises(StaleSource):
+        require_fresh(freshness_report({"Customer": landed["Customer"].limit(0)}, AS_OF))
+
+
 def test_missing_files_are_named_together(spark, tmp_path):
     folder = write_landing(tmp_path, base_tables())
     (tmp_path / "Person.csv").unlink()
