@@ -122,18 +122,20 @@ class _Search:
         return self._with_pivots(lists.join(odd, "node"), F.struct("odd", "node"))
 
     def _core_lists(self, values: DataFrame) -> DataFrame:
+        """With ``left``: how many values, from the rarest on, a class has from this one on."""
         lengths = values.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
         ranked = values.join(lengths, "value").withColumn(
             "rank", F.row_number().over(Window.partitionBy("node").orderBy("length", "value"))
         )
         held = F.count(F.lit(1)).over(Window.partitionBy("node"))
         least = F.ceil(F.col("n") * self.percent / 100)
-        return ranked.withColumn("held", held).where((F.col("rank") <= F.col("held") - least + 1) & (F.col("length") > 1)).select("value", "node", "n")
+        listed = ranked.withColumn("left", held - F.col("rank") + 1).where((F.col("left") >= least) & (F.col("length") > 1))
+        return listed.select("value", "node", "n", "left")
 
     def _with_pivots(self, lists: DataFrame, order: Column) -> DataFrame:
         """(value, node, n, pivot) of lists with two members or more."""
         shared = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length"), F.min_by("node", order).alias("pivot")).where("length > 1")
-        return lists.select("value", "node", "n").join(shared.select("value", "pivot"), "value")
+        return lists.join(shared.select("value", "pivot"), "value")
 
     def _full_sets(self, nodes: DataFrame) -> DataFrame:
         """The whole shingle sets of classes that stand in some list, from one document of each."""
@@ -185,15 +187,17 @@ class _Search:
 
         The list's largest component meets the others only. At most ``most`` values lie in
         the pivot and ``rest`` outside it; two members share at most the smaller of each.
+        In the list of the rarest value they share, they share no more than either has
+        ``left``.
         """
         members = saved(self.labelled(lists, groups), "members")
         parts = members.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
         largest = parts.groupBy("value").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
         open_lists = members.join(largest.where("parts > 1"), "value")
-        names = ("node", "n", "component", "most", "rest")
+        names = ("node", "n", "component", "most", "rest", "left")
         a = open_lists.where("component != main").select("value", *[F.col(c).alias(f"{c}_a") for c in names])
         b = open_lists.select("value", "main", *[F.col(c).alias(f"{c}_b") for c in names])
-        ceiling = F.least("n_a", "n_b", F.least("most_a", "most_b") + F.least("rest_a", "rest_b"))
+        ceiling = F.least("left_a", "left_b", F.least("most_a", "most_b") + F.least("rest_a", "rest_b"))
         once = "component_a != component_b AND (component_b = main OR node_a < node_b)"
         pairs = a.join(b, (a["value"] == b["value"]) & F.expr(once) & self.enough(ceiling, F.col("n_a"), F.col("n_b")))
         return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
@@ -247,8 +251,8 @@ def near_duplicates(
     both = F.when(F.col("node") == F.col("pivot"), size).otherwise(F.col("both"))
     hot = search.hot.join(search.cores.select("node", "core"), "node")
     hot = hot.join(pivots.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "both"), ["pivot", "node"], "left")
-    hot = hot.select("value", "node", "n", both.alias("most"), (size - both).alias("rest"))
-    cold = search.cold.select("value", "node", "n", F.col("n").alias("most"), F.col("n").alias("rest"))
+    hot = hot.select("value", "node", "n", both.alias("most"), (size - both).alias("rest"), "left")
+    cold = search.cold.select("value", "node", "n", *[F.col("n").alias(c) for c in ("most", "rest", "left")])
     pairs = saved(search.across(hot.unionByName(cold), groups), "pairs")
     links = saved(search.confirmed(search.estimated(pairs).select("a", "b")), "links")
     if not links.isEmpty():
