@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
 from .hashing import WordHasher
 from .samples import fold, labelled_sample
 
@@ -26,56 +25,112 @@ def hashed_terms(text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     return terms, counts, len(words)
 
 
+@dataclass
+class SparseRows:
+    """Rows of which only the inputs that differ from 0 are held: ``columns`` and ``values`` from ``starts`` on."""
+
+    starts: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> SparseRows:
+        row, column = np.nonzero(x)
+        return cls(np.searchsorted(row, np.arange(len(x))), column, x[row, column], x.shape[1])
+
+    def __post_init__(self):
+        sizes = np.diff(np.append(self.starts, len(self.columns)))
+        self.filled = np.flatnonzero(sizes)
+        self.order = np.argsort(self.columns, kind="stable")
+        self.by_column = np.repeat(np.arange(len(sizes)), sizes)[self.order], self.values[self.order]
+        self.present, self.first = np.unique(self.columns[self.order], return_index=True)
+
+    def times(self, matrix: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The rows, with ``values`` as their inputs, times ``matrix``, one column after the other."""
+        out = np.zeros((len(self.starts), matrix.shape[1]))
+        for k, c in enumerate(np.ascontiguousarray(matrix.T)):
+            out[self.filled, k] = np.add.reduceat(values * c[self.columns], self.starts[self.filled])
+        return out
+
+    def sums(self, per_row: np.ndarray, squared: bool = False) -> np.ndarray:
+        """Over each column, the sum of its (squared) values times the numbers of their rows."""
+        out = np.zeros((self.width, per_row.shape[1]))
+        owner, values = self.by_column
+        if len(owner):
+            values = values**2 if squared else values
+            for k, c in enumerate(np.ascontiguousarray(per_row.T)):
+                out[self.present, k] = np.add.reduceat(values * c[owner], self.first)
+        return out
+
+
 @dataclass
 class FactorMachine:
-    """``bias + w.x + pairs of x weighted by dot products of their factors``, through a logistic curve."""
+    """``bias + w.x + pairs of x weighted by dot products of their factors``, through a logistic curve.
+
+    The inputs are all hashed terms of the training texts and, last, the length.
+    """
 
     terms: np.ndarray
     bias: float
     weights: np.ndarray
     factors: np.ndarray
 
-    def inputs(self, text: bytes) -> np.ndarray:
-        """1 + log(count) of each screened term that occurs, 0 else; the last input says how long the text is."""
-        x = np.zeros(len(self.terms) + 1)
+    def inputs(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Places and values of a text's inputs: 1 + log(count) of each known term, and how long the text is."""
         terms, counts, n = hashed_terms(text)
-        if len(self.terms):
-            at = np.searchsorted(self.terms, terms)
-            at[at == len(self.terms)] = 0
-            same = self.terms[at] == terms
-            x[at[same]] = 1 + np.log(counts[same])
-        x[-1] = np.log1p(n) / 5
-        return x
+        at = np.searchsorted(self.terms, terms)
+        same = at < len(self.terms)
+        same[same] = self.terms[at[same]] == terms[same]
+        return np.append(at[same], len(self.weights) - 1), np.append(1 + np.log(counts[same]), np.log1p(n) / 5)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        sums = x @ self.factors
-        pairs = (sums**2 - x**2 @ self.factors**2).sum(-1) / 2
-        return self.bias + x @ self.weights + pairs
+        return self._raw(x @ self.weights, x @ self.factors, x**2 @ (self.factors**2).sum(1))
+
+    def _raw(self, linear: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> np.ndarray:
+        return self.bias + linear + ((sums**2).sum(-1) - squares) / 2
 
     def score(self, text: bytes) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.raw(self.inputs(text)), -30, 30))))
+        at, x = self.inputs(text)
+        factors = self.factors[at]
+        raw = self._raw(x @ self.weights[at], x @ factors, x**2 @ (factors**2).sum(1))
+        return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
+
 
+def fit_machine(
+    terms: np.ndarray, x: np.ndarray | SparseRows, y: np.ndarray, size: int = 4, rounds: int = 160, seed: int = 5, trust: np.ndarray | None = None
+) -> FactorMachine:
+    """Adam on the penalised log-loss of all sample rows; without both classes the score is constant.
 
-def fit_machine(terms: np.ndarray, x: np.ndarray, y: np.ndarray, size: int = 4, rounds: int = 250, seed: int = 5) -> FactorMachine:
-    """Adam on the penalised log-loss of all sample rows; without both classes the score is constant."""
-    width = x.shape[1]
+    The steps of inputs that fewer than about ten rows speak for are damped. ``trust``,
+    over 0 to 1, slows and shrinks single weights, never the factors of pairs. The first
+    half of the rounds fits weights only.
+    """
+    rows = x if isinstance(x, SparseRows) else SparseRows.of(x)
+    width = rows.width
     share = float(y.mean()) if len(y) else 0.5
     if share in (0.0, 1.0) or not len(y):
         return FactorMachine(terms, 30.0 * (2 * share - 1), np.zeros(width), np.zeros((width, size)))
     rng = np.random.default_rng(seed)
-    model = FactorMachine(terms, float(np.log(share / (1 - share))), np.zeros(width), rng.normal(0, 0.05, (width, size)))
+    trust = np.ones(width) if trust is None else trust
+    model = FactorMachine(terms, float(np.log(share / (1 - share))), np.zeros(width), rng.normal(0, 0.005, (width, size)))
     m, v = np.zeros(1 + width * (1 + size)), np.zeros(1 + width * (1 + size))
-    squares = x**2
+    squares = rows.values**2
     for t in range(1, rounds + 1):
-        error = (1 / (1 + np.exp(-np.clip(model.raw(x), -30, 30))) - y) / len(y)
-        sums = x @ model.factors
-        g_factors = x.T @ (error[:, None] * sums) - model.factors * (squares.T @ error)[:, None] + 2e-3 * model.factors
-        g_weights = x.T @ error + 2e-4 * model.weights
+        both = rows.times(np.column_stack([model.weights, model.factors]), rows.values)
+        sums = both[:, 1:]
+        raw = model._raw(both[:, 0], sums, rows.times((model.factors**2).sum(1)[:, None], squares)[:, 0])
+        error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) / len(y)
+        back = rows.sums(np.column_stack([error, error[:, None] * sums]))
+        g_weights = back[:, 0] * trust + 1e-4 * model.weights / trust
+        g_factors = back[:, 1:] - model.factors * rows.sums(error[:, None], squared=True) + 1.5e-2 * model.factors
         g = np.concatenate([[error.sum()], g_weights, g_factors.ravel()])
+        if t <= rounds // 2:  # weights first: the pairs explain what they leave
+            g[1 + width :] = 0
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
-        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 10 / len(y))
         model.bias -= float(step[0])
-        model.weights = model.weights - step[1 : 1 + width]
+        model.weights = model.weights - step[1 : 1 + width] * trust
         model.factors = model.factors - step[1 + width :].reshape(width, size)
     return model
 
@@ -85,16 +140,17 @@ def fit_toxicity(
     labels: DataFrame,
     keep: Column,
     limit: int = 8000,
-    terms: int = 128,
     z: float = 4.0,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> FactorMachine:
     """Fit on at most ``limit`` labelled documents that ``keep`` admits, in order of a hash of their ids.
 
-    Of their hashed terms those are screened whose document counts among toxic ones
-    lie ``z`` deviations off what the term's frequency gives, the ``terms`` furthest.
-    Only the screened terms of the sample reach the driver.
+    All their hashed terms are inputs, with a weight and factors each. The weight of a
+    term whose document count among toxic ones lies fewer than ``z`` deviations off what
+    its frequency gives is shrunk the more, the fewer they are; its factors are not, so
+    terms that are neutral alone can be toxic in pairs. The sample's distinct terms with
+    their counts, but no texts, reach the driver.
     """
     sample = labelled_sample(docs, labels, "toxic", keep, limit, id_column, text_column)
     kind = sample.schema["id"].dataType.simpleString()
@@ -104,31 +160,36 @@ def fit_toxicity(
             for k in range(batch.num_rows):
                 found, counts, n = hashed_terms(batch.column(2)[k].as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([found]), pa.array([counts.astype(np.int64)]), pa.array([n], pa.int64())],
+                    [batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([found.astype(np.int32)]), pa.array([counts.astype(np.int32)]), pa.array([n], pa.int64())],
                     ["id", "label", "terms", "counts", "n"],
                 )
 
     rows = sample.select("id", "label", F.col("text").cast("binary").alias("text"))
-    rows = saved(rows.mapInArrow(terms_of, f"id {kind}, label int, terms array<long>, counts array<long>, n long"), "toxic-sample")
-    total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    share = toxic / total if total else 0.0
-    screened = []
-    if 0 < share < 1:
-        by_term = rows.select("label", F.explode("terms").alias("term")).groupBy("term")
-        by_term = by_term.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).where("n >= 3")
-        deviation = (F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) * (1 - F.col("n") / (total + 1)))
-        screened = by_term.withColumn("z", F.abs(deviation)).where(F.col("z") >= z).orderBy(F.desc("z"), "term").limit(terms).collect()
-    chosen = np.array(sorted(r["term"] for r in screened), np.int64)
-    wanted = F.lit(chosen.tolist() or [-1])
-    found = F.filter(F.arrays_zip("terms", "counts"), lambda e: F.array_contains(wanted, e["terms"]))
-    small = rows.select("id", "label", "n", found.alias("found"))
-    data = sorted((r["id"], r["label"], r["n"], [(e["terms"], e["counts"]) for e in r["found"]]) for r in small.collect())
-    x = np.zeros((len(data), len(chosen) + 1))
-    for i, (_, _, n, found) in enumerate(data):
-        for term, count in found:
-            x[i, np.searchsorted(chosen, term)] = 1 + np.log(count)
-        x[i, -1] = np.log1p(n) / 5
-    return fit_machine(chosen, x, np.array([d[1] for d in data], float))
+    data = rows.mapInArrow(terms_of, f"id {kind}, label int, terms array<int>, counts array<int>, n long").toArrow()
+    ids, truth = data["id"].to_pylist(), data["label"].to_pylist()
+    data = data.take(pa.array(sorted(range(len(ids)), key=lambda i: (ids[i], truth[i])), pa.int64()))  # the same order in every run
+    found, counts = ([r.values.to_numpy() for r in data[c]] for c in ("terms", "counts"))
+    y, n = data["label"].to_numpy().astype(float), data["n"].to_numpy()
+    terms = np.unique(np.concatenate([np.empty(0, np.int32), *found]))
+    sizes = np.array([len(f) + 1 for f in found], np.int64)
+    columns = [np.append(np.searchsorted(terms, f), len(terms)) for f in found]
+    values = [np.append(1 + np.log(c), np.log1p(k) / 5) for c, k in zip(counts, n)]
+    none = [np.empty(0, np.int64)]
+    x = SparseRows(np.cumsum(sizes) - sizes, np.concatenate(columns or none), np.concatenate(values or none), len(terms) + 1)
+    return fit_machine(terms, x, y, trust=trusted(x, y, z))
+
+
+def trusted(x: SparseRows, y: np.ndarray, z: float) -> np.ndarray:
+    """Of each input 1 if its rows' labels lie ``z`` deviations off their share, else the square of what part of it they lie off, 0.02 at least."""
+    total, share = len(y), y.mean() if len(y) else 0.0
+    if not 0 < share < 1 or z <= 0:
+        return np.ones(x.width)
+    n = np.bincount(x.columns, minlength=x.width)
+    hits = np.bincount(x.columns[x.order], weights=y[x.by_column[0]], minlength=x.width)
+    off = np.maximum(np.abs(hits - n * share) - 1, 0) / np.sqrt(np.maximum(n, 1) * share * (1 - share) * (1 - n / (total + 1)))
+    out = np.clip((off / z) ** 2, 0.02, 1)
+    out[-1] = 1
+    return out
 
 
 def toxicity_scores(docs: DataFrame, model: FactorMachine, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -76,6 +76,20 @@ def test_pairs_need_both_terms():
     assert np.allclose(machine.raw(x), machine.bias + x @ machine.weights + sums)
 
 
+def test_pairs_of_neutral_terms_through_the_fit(spark):
+    """Toxic where both or none of two words stand: each word alone is neutral and no screen by itself would take it."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(1600):
+        one, two = k % 2, k // 2 % 2
+        rows.append((k, " ".join([*(f"w{i}" for i in rng.integers(0, 300, 12)), *["alpha"] * one, *["beta"] * two]), int(one == two)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    machine = toxicity.fit_toxicity(docs, labels(spark, [(k, 1, y) for k, _, y in rows]), F.col("doc_id") < 1200)
+    assert len(machine.terms) >= 295
+    scores = toxicity.toxicity_scores(docs.where("doc_id >= 1200"), machine).collect()
+    assert np.mean([(r["score"] >= 0.5) == rows[r["doc_id"]][2] for r in scores]) >= 0.95
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(1)
     field = quality.LineField(rng.normal(size=quality.FEATURES), rng.normal(size=(2, 2)))
