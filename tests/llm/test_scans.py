@@ -92,6 +92,19 @@ def test_pages_alone_and_awkward_pages(spark):
     assert templates.main_text(pages(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<body class="no-sidebar has-search"><div class="with-nav"><p>kept</p></div></body>', "kept"),
+        ('<body class="sidebar"><article id="how-to-share-files"><section id="related"><h2 id="search">Find</h2><p>it</p></section></article>', "Find\nit"),
+        ('<div><section id="related-work"><p>kept</p></section><div class="site-footer">out</div></div>', "kept"),
+        ('<p>some <span class="advert">buy <span>now</span> this</span>text</p>', "some text"),
+    ],
+)
+def test_names_exclude_as_a_whole(page, text):
+    assert templates.article(page, None) == text
+
+
 def test_equal_occurrence_vectors_share_a_class(spark):
     rows = [("h", p, t, n, 0, False) for p, times in enumerate([(1, 2, 2), (1, 3, 3), (1, 1, 1)]) for t, n in zip(("a", "b", "c"), times)]
     tokens = spark.createDataFrame(rows, "host string, page long, token string, times long, size long, excluded boolean")
