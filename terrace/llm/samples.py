@@ -20,10 +20,13 @@ def labelled_sample(
 
     The labels that come first by a seeded hash of the id are taken, so the sample is
     the same in every run and of bounded size; null labels and ids are left out. The
-    ids of the sample are broadcast: ``limit`` bounds them.
+    ids of the sample are broadcast: ``limit`` bounds them. Of rows that repeat an id
+    the text with the smallest hash is taken, in a partial aggregate of every map task.
     """
     chosen = labels.where(keep & F.col(label).isNotNull() & F.col(id_column).isNotNull())
     chosen = chosen.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label")).distinct()
     chosen = chosen.orderBy(hash01(F.lit(seed), F.col("id")), "id", "label").limit(limit)
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    return rows.join(F.broadcast(chosen), "id")
+    rows = rows.join(F.broadcast(chosen), "id")
+    first = F.min_by("text", F.struct(F.xxhash64("text"), F.md5("text")))
+    return rows.groupBy("id", "label").agg(first.alias("text")).select("id", "text", "label")

@@ -34,6 +34,14 @@ def test_folds(spark):
     assert all(r["f"] == zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 5 for r in got)
 
 
+def test_sample_takes_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"copy {k % 7}") for k in range(300)] + [(2, "b"), (3, None)], "doc_id long, text string")
+    known = labels(spark, [(1, 1, 0), (2, 0, 0), (3, 1, 0)])
+    got = [samples.labelled_sample(d, known, "quality", F.lit(True), 10).collect() for d in (docs, docs.repartition(7))]
+    assert sorted(r["id"] for r in got[0]) == [1, 2, 3]
+    assert sorted(got[0]) == sorted(got[1])
+
+
 def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
