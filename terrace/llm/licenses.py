@@ -93,12 +93,14 @@ class NoticeScanner:
         for number, spans in windows.items():
             phrase, label, allowed, pattern = self.notices[number]
             for start, end in spans:
-                at = start
-                while match := pattern.search(joined, at, end):
-                    a, b = match.start() + 1, match.end() - 1  # between the spaces: whole words
-                    at = match.end() - 1
-                    edits = sum(match.fuzzy_counts)
-                    found.append((edits, a - b, a, b, label, 1 - edits / len(phrase)))
+                parts = [(start, end)]
+                while parts:  # the best match of a part need not be its first: what stands on both sides is searched too
+                    left, right = parts.pop()
+                    if match := pattern.search(joined, left, right):
+                        a, b = match.start() + 1, match.end() - 1  # between the spaces: whole words
+                        parts += [(left, a), (b, right)]
+                        edits = sum(match.fuzzy_counts)
+                        found.append((edits, a - b, a, b, label, 1 - edits / len(phrase)))
         kept: list[tuple] = []
         for hit in sorted(found):
             if not any(hit[2] < k[3] and k[2] < hit[3] and (hit[4] == k[4] or hit[0] > k[0]) for k in kept):

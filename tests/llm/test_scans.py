@@ -51,6 +51,11 @@ def test_every_edit_within_the_bound_is_found():
             assert [s[0] for s in found["spans"]] == ["mit"], changed
 
 
+def test_edited_notice_before_an_exact_one_is_found():
+    found = licenses.NoticeScanner()(b"x under the mit licence under the mit license y")
+    assert [s[:4] for s in found["spans"]] == [("mit", 1, 4, 1), ("mit", 5, 8, 0)]
+
+
 def test_pieces_cover_the_phrase():
     for phrase, _ in licenses.NOTICES:
         parts = licenses.pieces(phrase, licenses.edits_allowed(phrase) + 1)
