@@ -224,13 +224,13 @@ def fit_lines(texts: list[bytes], labels: list[int], rounds: int = 3, lines: int
     Lines have no labels of their own. All lines of good documents are good; lines of
     bad documents start as bad, and each round a logistic model of the lines releases
     those of them that look good, but never a document's worst. The field is fitted to
-    the last labels, the first ``lines`` lines of each training text (a bound of the
-    fit only), and a logistic curve maps the good share of documents to probabilities.
+    the last labels of all lines, long texts in consecutive blocks of ``lines`` lines so
+    that padding stays small, and a logistic curve maps the good share of documents to probabilities.
     No texts give the constant 0.5, one class gives that class.
     """
     if len(set(labels)) < 2:
         return LineField(np.zeros(FEATURES), np.zeros((2, 2)), constant=float(labels[0]) if labels else 0.5)
-    chains = [line_features(t)[0][:lines] for t in texts]
+    chains = [line_features(t)[0] for t in texts]
     truth = np.array(labels)
     x = np.concatenate(chains)
     owner = np.repeat(np.arange(len(chains)), list(map(len, chains)))
@@ -244,7 +244,8 @@ def fit_lines(texts: list[bytes], labels: list[int], rounds: int = 3, lines: int
         for i in np.flatnonzero(truth == 0):
             own = value[cuts[i] : cuts[i + 1]]
             y[cuts[i] : cuts[i + 1]] = (own > 1.0) & (own > own.min())
-    field = _field_fit(chains, [y[cuts[i] : cuts[i + 1]] for i in range(len(chains))], _logistic(x, y.astype(float), weight, 1.0))
+    blocks = [(s, min(s + lines, b)) for a, b in zip(cuts, cuts[1:]) for s in range(a, b, lines)]
+    field = _field_fit([x[a:b] for a, b in blocks], [y[a:b] for a, b in blocks], _logistic(x, y.astype(float), weight, 1.0))
     share = np.array([field.share_good(t) for t in texts])
     curve = _logistic(np.stack([np.ones(len(share)), share - 0.5], axis=1), truth.astype(float), np.ones(len(share)), 0.1)
     field.shift, field.slope = float(curve[0]), float(curve[1])

@@ -98,6 +98,17 @@ def test_pairs_of_neutral_terms_through_the_fit(spark):
     assert np.mean([(r["score"] >= 0.5) == rows[r["doc_id"]][2] for r in scores]) >= 0.95
 
 
+def test_lines_after_the_first_block_train_the_field():
+    """Bad documents differ from good ones only after line 400."""
+    line, junk = b"A plain line of words, as others are.", b"|| == {} <> ## 000 // || == {}"
+    good = b"\n".join([line] * 440)
+    bad = b"\n".join([line] * 410 + [junk] * 30)
+    field = quality.fit_lines([good, bad] * 4, [1, 0] * 4)
+    assert field.score(good) > 0.5 > field.score(bad)
+    p = field.marginals(quality.line_features(bad)[0])
+    assert p[412:].mean() < 0.1 < p[:400].mean()
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(1)
     field = quality.LineField(rng.normal(size=quality.FEATURES), rng.normal(size=(2, 2)))
