@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, licenses, mixing, near_dedup, quality, repeats, sharding, templates, toxicity
+from . import decontaminate, exact_dedup, licenses, mixing, near_dedup, quality, ranked_search, repeats, sharding, templates, toxicity
 from .common import table
 from .samples import fold
 
@@ -200,3 +200,35 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (hits > 0).alias("contaminated"),
     )
+
+
+RANK_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS words
+  FROM documents
+), s AS (
+  SELECT count(*) AS N, CAST(sum(len(words)) AS BIGINT) AS L FROM d WHERE len(words) > 0
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')) AS term
+  FROM benchmark
+), t AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM d) SEMI JOIN q USING (term) GROUP BY row, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s
+), m AS (
+  SELECT row, doc_id, 100 - 90 + (90 * len(words) * N) // L AS m FROM d, s WHERE len(words) > 0
+), scores AS (
+  SELECT item_id, row, any_value(doc_id) AS doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY item_id, row
+), ranked AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query(RANK_SQL)
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
