@@ -207,10 +207,10 @@ MERKLE_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS row, doc_id, source,
          list_aggregate(list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
-                                       v -> CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END), 'string_agg', '') AS head,
+                                       lambda v: CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END), 'string_agg', '') AS head,
          text,
-         list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), c -> CAST(ord(c) AS BIGINT))),
-                     (c, b) -> list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], (x, z) -> xor(x >> 1, 3988292384 * (x & 1)))) AS turned
+         list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+                     lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) AS turned
   FROM documents
 ), leaves AS (
   SELECT row, doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
@@ -219,35 +219,35 @@ WITH RECURSIVE d AS (
   FROM d
 ), placed AS (
   SELECT row, doc_id, tree, leaf, sha256(head || CASE WHEN altered IS NULL THEN '-' ELSE strlen(altered) || ':' || altered END) AS found,
-         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at, count(*) OVER (PARTITION BY tree) AS n
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
   FROM leaves
 ), up AS (
-  SELECT tree, 0 AS level, at, leaf AS h, n FROM placed
+  SELECT tree, 0 AS level, pos, leaf AS h, n FROM placed
   UNION ALL
-  SELECT tree, level + 1, at // 3, sha256(string_agg(h, '' ORDER BY at)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, level, at // 3, n
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, level, pos // 3, n
 ), subroots AS (
   SELECT tree, h FROM up WHERE n = 1
 ), top AS (
-  SELECT CAST(-1 AS BIGINT) AS tree, 0 AS level, tree AS at, h, (SELECT count(*) FROM subroots) AS n FROM subroots
+  SELECT CAST(-1 AS BIGINT) AS tree, 0 AS level, tree AS pos, h, (SELECT count(*) FROM subroots) AS n FROM subroots
   UNION ALL
-  SELECT tree, level + 1, at // 3, sha256(string_agg(h, '' ORDER BY at)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY tree, level, at // 3, n
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY tree, level, pos // 3, n
 ), nodes AS (
   SELECT * FROM up UNION ALL SELECT * FROM top
 ), beside AS (
-  SELECT a.tree, a.level, a.at, coalesce(string_agg(b.h, '' ORDER BY b.at) FILTER (b.at < a.at), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.at) FILTER (b.at > a.at), '') AS r
-  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.at // 3 = b.at // 3 GROUP BY a.tree, a.level, a.at
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3 GROUP BY a.tree, a.level, a.pos
 ), climb AS (
-  SELECT row, tree, 0 AS level, at, n, found AS h, '' AS siblings FROM placed
+  SELECT row, tree, 0 AS level, pos, n, found AS h, '' AS siblings FROM placed
   UNION ALL
-  SELECT row, c.tree, c.level + 1, c.at // 3, (c.n + 2) // 3, sha256(l || c.h || r), siblings || l || r
-  FROM climb c JOIN beside b ON c.tree = b.tree AND c.level = b.level AND c.at = b.at WHERE c.n > 1
+  SELECT row, c.tree, c.level + 1, c.pos // 3, (c.n + 2) // 3, sha256(l || c.h || r), siblings || l || r
+  FROM climb c JOIN beside b ON c.tree = b.tree AND c.level = b.level AND c.pos = b.pos WHERE c.n > 1
 ), cross_over AS (
-  SELECT row, CAST(-1 AS BIGINT) AS tree, 0 AS level, tree AS at, (SELECT count(*) FROM subroots) AS n, h, siblings FROM climb WHERE n = 1
+  SELECT row, CAST(-1 AS BIGINT) AS tree, 0 AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, h, siblings FROM climb WHERE n = 1
 ), rise AS (
   SELECT * FROM cross_over
   UNION ALL
-  SELECT row, c.tree, c.level + 1, c.at // 3, (c.n + 2) // 3, sha256(l || c.h || r), siblings || l || r
-  FROM rise c JOIN beside b ON c.tree = b.tree AND c.level = b.level AND c.at = b.at WHERE c.n > 1
+  SELECT row, c.tree, c.level + 1, c.pos // 3, (c.n + 2) // 3, sha256(l || c.h || r), siblings || l || r
+  FROM rise c JOIN beside b ON c.tree = b.tree AND c.level = b.level AND c.pos = b.pos WHERE c.n > 1
 )
 SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(c.siblings) AS proof_sha256, c.h AS folded_root, c.h = t.h AS verified
 FROM placed p JOIN subroots s ON s.tree = p.tree JOIN rise c ON c.row = p.row AND c.n = 1 JOIN top t ON t.n = 1
