@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, licenses, merkle, mixing, near_dedup, quality, ranked_search, repeats, sharding, templates, toxicity
+from . import (
+    decontaminate,
+    exact_dedup,
+    licenses,
+    merkle,
+    mixing,
+    near_dedup,
+    quality,
+    ranked_search,
+    repeats,
+    sharding,
+    signature_join,
+    templates,
+    toxicity,
+)
 from .common import table
 from .samples import fold
 
@@ -202,6 +216,11 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(NEAR_SQL.replace("len(words) - 4, 1", "len(words) - 2, 1").replace("words[k:k + 4]", "words[k:k + 2]").replace(">= 75 *", ">= 90 *").replace(", d.doc_id = c.component_id AS kept", ""))
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return signature_join.similar_groups(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 # crc32 by its bits; trees by levels; every row then climbs its source's tree and the tree of the subroots.
 MERKLE_SQL = r"""
 WITH RECURSIVE d AS (
