@@ -18,14 +18,20 @@ from .near_dedup import BROADCAST_IDS, SEPARATORS, shingle_sets
 
 TOKENS = 1 << 20  # tokens and sets that one task holds of a block
 SETS = 1 << 10
+MORE = 3  # one token in so many more is listed than the first common one needs
 FAN = 8
 BITS = 1 << 14
 PAIRS = 1 << 12
 
 
-def enough(both, n_a, n_b, percent: int):
-    """Whether sets of these sizes that share ``both`` tokens are similar enough."""
-    return both * (100 + percent) >= (n_a + n_b) * percent
+def least_shared(n_a, n_b, percent: int):
+    """How many tokens similar sets of these sizes share."""
+    return -(-(n_a + n_b) * percent // (100 + percent))
+
+
+def least_listed(n_a, n_b, percent: int):
+    """How many tokens of their stored prefixes similar sets of these sizes share (see ``contenders``)."""
+    return 1 + np.minimum(n_a, n_b) * (100 - percent) // 100 // MORE
 
 
 # ---- frequent tokens ---------------------------------------------------------------------------------
@@ -83,11 +89,7 @@ def frequent_tokens(rows: DataFrame, width: int, share: float, limit: int) -> tu
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, n, signature, prefix): the first tokens of which any partner shares one.
-
-    A partner shares at least ``percent`` % of the set, so one of the first
-    ``n - least + 1`` in an order of all tokens is also among the partner's first.
-    """
+    """(id, text) to (id, n, signature, prefix): the first tokens in an order of all tokens, as many as ``contenders`` needs."""
     words = WordHasher(SEPARATORS)
     tokens, place = frequent
     for whole in batches:
@@ -97,7 +99,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequ
             for text in batch.column(1).to_pylist():
                 values = shingles(words(text), width)
                 n = len(values)
-                first = n - -(-n * percent // 100) + 1 if n else 0
+                spare = n - -(-n * percent // 100)
+                first = min(n, spare + 1 + spare // MORE)
                 if len(tokens):
                     spot = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
                     late = np.where(tokens[spot] == values, place[spot] + 1, 0)
@@ -111,6 +114,32 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequ
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "signature", "prefix"])
 
 
+def spare(n: Column, percent: int) -> Column:
+    """How many tokens of a set of ``n`` a partner may lack."""
+    return n - F.ceil(n * percent / 100)
+
+
+def contenders(classes: DataFrame, percent: int) -> DataFrame:
+    """(node, token): lists of the sets that can have a partner.
+
+    Of a set and a partner, the first ``c`` common tokens lie among the first
+    ``spare + c`` of either. So a partner shares one of the first ``spare + 1``, which
+    are listed, and of the longer prefix stored at least as many as the smallest
+    partner allows have to stand in another set; sets that merely share a passage do
+    not have them. What is left is counted once more among itself.
+    """
+    n = F.col("n")
+    needed = 1 + F.floor(spare(F.ceil(n * percent / 100), percent) / MORE)
+    postings = classes.select("node", "n", F.posexplode("prefix").alias("place", "token"))
+    postings = postings.select("node", "n", "token", (F.col("place") <= spare(n, percent)).alias("early"))
+    for _ in range(2):
+        repeated = postings.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1").select("token")
+        shared = saved(postings.join(saved(repeated, "repeated"), "token"), "shared")
+        held = shared.groupBy("node", "n").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= needed)
+        postings = saved(shared.join(held.select("node"), "node", "left_semi"), "contenders")
+    return postings.where("early").select("node", "token")
+
+
 def groups_of(postings: DataFrame) -> DataFrame:
     """(grp, node, weight): lists that lead to the same longest list are one group, so a set meets a partner once, not in every list they share.
 
@@ -193,7 +222,9 @@ class Tree:
             out.append(np.where(low == high, low, -1))
         return out
 
-    def possible(self, level: int, x: np.ndarray, other: Tree, y: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    def possible(
+        self, level: int, x: np.ndarray, other: Tree, y: np.ndarray, percent: int, least: Callable = least_shared
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Whether some pair of sets below nodes ``x`` and ``y`` can be similar, by the most they can share; and that number."""
         maps, low, high, folded = self.levels[level]
         maps_y, low_y, high_y, folded_y = other.levels[level]
@@ -203,14 +234,14 @@ class Tree:
             most[k : k + PAIRS] = np.bitwise_count(maps[a] & maps_y[b]).sum(axis=1)
         most = np.minimum(most + np.minimum(folded[x], folded_y[y]), np.minimum(high[x], high_y[y]))
         fits = (100 * high[x] >= percent * low_y[y]) & (100 * high_y[y] >= percent * low[x])
-        return fits & enough(most, low[x], low_y[y], percent), most
+        return fits & (most >= least(low[x], low_y[y], percent)), most
 
 
 class Walk:
     """Walks pairs of nodes of two trees (or of one with itself) and joins similar sets of different components."""
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: list[int], percent: int):
-        self.sets, self.sizes, self.start, self.percent = sets, sizes, labels, percent
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: list[int], percent: int, least: Callable = least_shared):
+        self.sets, self.sizes, self.start, self.percent, self.least = sets, sizes, labels, percent, least
         self.forest = Forest(labels)
         self.maps, self.folded = bitmaps(sets, BITS)
         self.exact = not self.folded.any()
@@ -229,7 +260,7 @@ class Walk:
             if self.forest.root(self.start[i]) != self.forest.root(self.start[j]):
                 if not self.exact:
                     both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
-                if enough(both, self.sizes[i], self.sizes[j], self.percent):
+                if both >= self.least(self.sizes[i], self.sizes[j], self.percent):
                     self.forest.join(self.start[i], self.start[j])
                     self.links.append((i, j))
 
@@ -238,7 +269,7 @@ class Walk:
         others = members[members != pivot]
         ends = self.tree(others), self.tree(np.array([pivot]))
         index = np.arange(len(others))
-        fits, most = ends[0].possible(0, index, ends[1], np.zeros(len(others), np.int64), self.percent)
+        fits, most = ends[0].possible(0, index, ends[1], np.zeros(len(others), np.int64), self.percent, self.least)
         self.verify(others[fits], np.full(int(fits.sum()), pivot), most[fits])
 
     def join(self, left: np.ndarray, right: np.ndarray | None = None) -> None:
@@ -264,7 +295,7 @@ class Walk:
             here, there = mine[level][a], yours[level][b]
             fits = (here < 0) | (here != there)
             a, b = a[fits], b[fits]
-            fits, most = x.possible(level, a, y, b, self.percent)
+            fits, most = x.possible(level, a, y, b, self.percent, self.least)
             a, b, most = a[fits], b[fits], most[fits]
             if level == 0:
                 self.verify(members[0][a], members[1][b], most)
@@ -296,6 +327,26 @@ def _named(links: list[tuple[int, int]], nodes: list[int]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([nodes[i] for i, _ in links], pa.int64()), pa.array([nodes[j] for _, j in links], pa.int64())], ["a", "b"])
 
 
+def _screen(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """A group (node, n, vals: prefixes, weight) to the parts (part, node) inside which similar sets can be."""
+
+    def screen(group: pa.Table) -> pa.Table:
+        nodes, sizes, sets = _read(group)
+        walk = Walk(sets, sizes, list(range(len(nodes))), percent, least_listed)
+        members = arranged(sets, sizes)
+        walk.star(members, int(np.argmax(group.column("weight").to_numpy())))
+        walk.join(members)
+        parts: dict[int, list[int]] = {}
+        for place, node in enumerate(nodes):
+            parts.setdefault(walk.forest.root(place), []).append(node)
+        found = [np.sort(np.array(part, np.int64)) for part in parts.values() if len(part) > 1]
+        names = [int.from_bytes(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), "big", signed=True) for part in found]
+        names = [name for name, part in zip(names, found) for _ in part]
+        return pa.Table.from_arrays([pa.array(names, pa.int64()), pa.array([n for part in found for n in part.tolist()], pa.int64())], ["grp", "node"])
+
+    return screen
+
+
 def _within(percent: int) -> Callable[[pa.Table], pa.Table]:
     """Links inside one block (node, n, vals, pivot): first with the pivots, then by its tree."""
 
@@ -333,6 +384,20 @@ def _across(percent: int) -> Callable[[pa.Table], pa.Table]:
 # ---- the join ----------------------------------------------------------------------------------------
 
 
+def _parts(members: DataFrame, classes: DataFrame, percent: int, tokens: int, sets: int) -> DataFrame:
+    """(grp, node, weight): groups that fit in a task by their prefixes are cut into the parts that a walk over these leaves.
+
+    Parts are named by their members, so equal parts of several groups become one. Larger groups stay as they are.
+    """
+    held = members.join(classes.select("node", "n", F.col("prefix").alias("vals")), "node")
+    sized = members.join(classes.select("node", F.size("prefix").alias("m")), "node").groupBy("grp")
+    sized = saved(sized.agg(F.sum("m").alias("tokens"), F.count(F.lit(1)).alias("sets")).where("sets > 1"), "group-sizes")
+    small = (F.col("tokens") <= tokens) & (F.col("sets") <= sets)
+    screened = held.join(sized.where(small).select("grp"), "grp").groupBy("grp").applyInArrow(_screen(percent), "grp long, node long")
+    whole = members.join(sized.where(~small).select("grp"), "grp").select("grp", "node", "weight")
+    return saved(screened.distinct().withColumn("weight", F.lit(1).cast("long")).unionByName(whole), "parts")
+
+
 def _blocks(members: DataFrame, percent: int, tokens: int, sets: int) -> DataFrame:
     """(grp, band, salt, node, n, pivot): groups too large for a task are cut by size range and a hash.
 
@@ -390,9 +455,11 @@ def similar_groups(
 
     Rows of equal sets form one class. A class is listed under its first tokens, of
     which any partner shares one; tokens in ``share`` of all sets or more come last in
-    the order, so common passages make no lists. Lists that lead to the same longest
-    list are one group, and all partners meet in some group. A group's sets stand in a
-    signature tree: nodes hold the OR of their sets' token bitmaps and the range of
+    the order, so common passages make no lists. Classes with too few first tokens that
+    stand in another class have no partner and leave. Lists that lead to the same longest
+    list are one group, and all partners meet in some group. Sets stand in signature
+    trees, first of a group's listed tokens, which leaves small parts, then of the whole
+    sets of a part: nodes hold the OR of their sets' token bitmaps and the range of
     their sizes; pairs of nodes are walked from the root down and dropped where the
     most their sets can share is too little, or where all their sets are connected
     already. Bitmaps of up to 16384 shared tokens are exact, beyond that pairs are
@@ -413,7 +480,8 @@ def similar_groups(
     documents = saved(listed, "prefixes")
     classes = documents.where("n > 0").groupBy("signature").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = groups_of(classes.select("node", F.explode("prefix").alias("token")))
+    members = groups_of(contenders(classes, percent))
+    members = _parts(members, classes, percent, block_tokens, 8 * block_sets)
 
     wanted = saved(members.select("node").distinct().join(classes.select("node", "signature", "rep", "n"), "node"), "wanted")
     ids = wanted.select("rep").distinct()

@@ -58,7 +58,7 @@ def groups(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("limits", [{}, {"block_sets": 8, "block_tokens": 3000}, {"share": 0.9}])
+@pytest.mark.parametrize("limits", [{}, {"block_sets": 8, "block_tokens": 3000}, {"block_sets": 1, "block_tokens": 300, "share": 0.9}])
 def test_groups_chains_and_common_passages(spark, limits):
     rows = groups(4)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
