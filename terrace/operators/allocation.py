@@ -2,18 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import in_list, repeated_slots, spread_slot
+
 SHARE_TYPE = "decimal(38,6)"
-# Amounts below 10^12 and weights below 10^13, in millionths: their product is exact.
-AMOUNT_UNITS, WEIGHT_UNITS = "decimal(18,0)", "decimal(19,0)"
+# Amounts and weights are counted in millionths. Products of an amount below 10^12 and a weight
+# below 10^13 fit in a decimal; others are divided in parts of seven digits.
+AMOUNT_TYPE, AMOUNT_UNITS = "decimal(21,6)", "decimal(21,0)"
+WEIGHT_UNITS, LARGEST_WEIGHT = "decimal(30,0)", "1e24BD"
+CUT_UNITS = "decimal(31,0)"
+PART = 10_000_000
+
+
+def _units(value: Column) -> Column:
+    return value * F.lit(1_000_000)
+
+
+def _with_cuts(joined: DataFrame, weight: str, amounts: Mapping[str, str]) -> DataFrame:
+    """Add for each output ``_units_<name>`` (the amount) and ``_cut_<name>`` (the line's share, cut), in millionths.
+
+    Where a product may pass 38 digits, the amount is divided in three parts from the
+    left, each with the remainder of the one before; these columns are NULL elsewhere.
+    Weights of 10^24 and more lose their last eight digits before the division.
+    """
+    huge = F.greatest("_largest", "_total") >= F.expr(LARGEST_WEIGHT)
+    hundred = F.lit(100).cast("decimal(3,0)")
 
+    def counted(value: Column) -> Column:
+        return F.when(huge, (value - value % hundred) / hundred).otherwise(_units(value)).cast(WEIGHT_UNITS)
 
-def _units(value: str, kind: str) -> Column:
-    return (F.col(value) * F.lit(1_000_000)).cast(kind)
+    units = {f"_units_{name}": _units(F.col(amount).cast(AMOUNT_TYPE)).cast(AMOUNT_UNITS) for name, amount in amounts.items()}
+    positive = F.col("_total") > 0
+    joined = joined.withColumns({**units, "_weight": F.when(positive, counted(F.col(weight))), "_over": F.when(positive, counted(F.col("_total")))})
+
+    def each(text: str, column: str) -> dict[str, Column]:
+        return {column.format(name): F.expr(text.format(name)) for name in amounts}
+
+    joined = joined.withColumns(
+        each("NOT (abs(`_units_{0}`) < 1e18BD AND abs(_weight) < 1e19BD AND abs(_weight) <= _over)", "_wide_{0}")
+    )
+    joined = joined.withColumns({
+        **each("CASE WHEN `_wide_{0}` THEN `_units_{0}` END", "_left_{0}"),
+        **each("CASE WHEN `_wide_{0}` THEN cast(0 as decimal(38,0)) END", "_quotient_{0}"),
+        **each("CASE WHEN `_wide_{0}` THEN cast(0 as decimal(38,0)) END", "_remainder_{0}"),
+    })
+    for size in (PART * PART, PART, 1):
+        part = f"cast((`_left_{{0}}` - `_left_{{0}}` % {size}) / {size} as decimal(7,0))"
+        joined = joined.withColumns(each(f"cast(`_remainder_{{0}}` * {PART} + {part} * _weight as decimal(38,0))", "_x_{0}"))
+        joined = joined.withColumns({
+            **each(f"cast(`_quotient_{{0}}` * {PART} + (`_x_{{0}}` - `_x_{{0}}` % _over) / _over as decimal(38,0))", "_quotient_{0}"),
+            **each("cast(`_x_{0}` % _over as decimal(38,0))", "_remainder_{0}"),
+            **each(f"`_left_{{0}}` % {size}", "_left_{0}"),
+        })
+    product = "cast(`_units_{0}` as decimal(18,0)) * cast(_weight as decimal(19,0)) div _over"
+    cut = f"CASE WHEN `_wide_{{0}}` THEN cast(coalesce(`_quotient_{{0}}`, 0) as {CUT_UNITS}) ELSE cast(coalesce({product}, 0L) as {CUT_UNITS}) END"
+    joined = joined.withColumns(each(cut, "_cut_{0}"))
+    return joined.drop(*[f"_{part}_{name}" for name in amounts for part in ("wide", "left", "quotient", "remainder", "x")])
 
 
 def allocate(
@@ -23,44 +71,60 @@ def allocate(
     weight: str,
     amounts: Mapping[str, str],
     line_key: str,
+    hot: Sequence = (),
+    salts: int = 32,
 ) -> DataFrame:
     """Join lines to their header and split header ``amounts`` (output -> header column) by ``weight``.
 
     A line gets ``amount * weight / total`` cut to millionths, and the line with the
     smallest ``line_key`` of its order (unique there, a number) also what the cut left
     over: shares sum back to the amount exactly, however many lines there are, and none
-    is negative unless the amount or a weight is. Lines without a header are dropped;
-    where the total is zero, negative or missing every share is 0, and so is the share
-    of a line without a weight.
+    is negative unless the amount or a weight is. Amounts may be any DECIMAL(19,4),
+    weights any DECIMAL(38,6) whose sum is one. Lines without a header are dropped; where
+    the total is zero, negative or missing every share is 0, and so is the share of a
+    line without a weight.
 
-    Totals, shares and the line that takes the rest are aggregates with map-side
-    partial sums that are attached to the headers, so no order is ever gathered into
-    one window frame.
+    Lines are shuffled once, by order: the header, the total, the cut shares and the line
+    that takes the rest are found in that partitioning; frames of large orders spill.
+    ``hot`` (from ``heavy_hitters``) lists orders too large for one task: their lines are
+    spread over ``salts`` slots and their totals, one row per listed order, are
+    aggregated beforehand and sent to every task.
     """
     weighed = F.when(F.col(weight).isNotNull(), F.col(line_key))
-    totals = lines.groupBy(key).agg(F.sum(weight).alias("_total"), F.min(weighed).alias("_rest_line"))
-    joined = lines.join(headers.join(totals, key), key)
-    shared = joined.withColumn("_total_units", F.when(F.col("_total") > 0, _units("_total", "decimal(38,0)")))
-    cut = {
-        name: F.expr(
-            f"coalesce(cast(`{amount}` * 1000000 as {AMOUNT_UNITS}) * cast(`{weight}` * 1000000 as {WEIGHT_UNITS})"
-            " div _total_units, 0L)"
-        )
-        for name, amount in amounts.items()
-    }
-    shared = shared.withColumns({f"_{name}": share for name, share in cut.items()})
-    given = shared.groupBy(F.col(key).alias("_given_key")).agg(
-        *[F.sum(f"_{name}").alias(f"_given_{name}") for name in amounts]
-    )
+    totals = {"_total": F.sum(weight), "_largest": F.max(F.abs(weight)), "_rest_line": F.min(weighed)}
+    given = {f"_given_{name}": F.sum(f"_cut_{name}") for name in amounts}
+    hot = [value for value in hot if value is not None]
+    if hot:
+        spread = lines.withColumn("_slot", spread_slot(in_list(key, hot), [line_key], salts))
+        slotted = headers.withColumn("_slot", F.explode(repeated_slots(in_list(key, hot), salts)))
+        joined, frame = spread.join(slotted, [key, "_slot"]), Window.partitionBy(key, "_slot")
+        # One row per hot order.
+        large = lines.where(in_list(key, hot))
+        large_totals = large.groupBy(key).agg(*[v.alias(k) for k, v in totals.items()])
+        cuts = _with_cuts(large.join(headers.where(in_list(key, hot)), key).join(F.broadcast(large_totals), key), weight, amounts)
+        large_given = cuts.groupBy(F.col(key).alias("_hot_key")).agg(*[v.alias(f"_hot{k}") for k, v in given.items()])
+        large_totals = large_totals.select(F.col(key).alias("_hot_key"), *[F.col(k).alias(f"_hot{k}") for k in totals])
+    else:
+        joined, frame = lines.join(headers, key), Window.partitionBy(key)
+
+    def totalled(df: DataFrame, values: Mapping[str, Column], known: DataFrame | None) -> DataFrame:
+        df = df.withColumns({k: v.over(frame) for k, v in values.items()})
+        if known is None:
+            return df
+        df = df.join(F.broadcast(known), F.col(key) == F.col("_hot_key"), "left")
+        df = df.withColumns({k: F.when(F.col("_hot_key").isNull(), F.col(k)).otherwise(F.col(f"_hot{k}")) for k in values})
+        return df.drop("_hot_key", *[f"_hot{k}" for k in values])
+
+    whole = _with_cuts(totalled(joined, totals, large_totals if hot else None), weight, amounts)
+    whole = totalled(whole, given, large_given if hot else None)
     takes_rest = (F.col("_total") > 0) & (F.col(line_key) == F.col("_rest_line"))
     millionth = F.lit("0.000001").cast("decimal(6,6)")
 
-    def share(name: str, amount: str) -> Column:
-        rest = F.coalesce(_units(amount, AMOUNT_UNITS), F.lit(0)) - F.col(f"_given_{name}")
-        units = F.col(f"_{name}") + F.when(takes_rest, rest).otherwise(F.lit(0))
-        return (units.cast("decimal(31,0)") * millionth).cast(SHARE_TYPE)
+    def share(name: str) -> Column:
+        rest = F.coalesce(F.col(f"_units_{name}"), F.lit(0)) - F.col(f"_given_{name}")
+        units = F.col(f"_cut_{name}") + F.when(takes_rest, rest).otherwise(F.lit(0))
+        return (units.cast(CUT_UNITS) * millionth).cast(SHARE_TYPE)
 
-    whole = shared.join(given, F.col(key) == F.col("_given_key"))
-    whole = whole.withColumns({name: share(name, amount) for name, amount in amounts.items()})
-    helpers = [f"_{name}" for name in amounts] + [f"_given_{name}" for name in amounts]
-    return whole.drop("_total", "_total_units", "_rest_line", "_given_key", *helpers)
+    helpers = [f"_{part}_{name}" for name in amounts for part in ("units", "cut", "given")]
+    whole = whole.withColumns({name: share(name) for name in amounts})
+    return whole.drop("_slot", "_weight", "_over", *totals, *helpers)

@@ -8,6 +8,7 @@ a large share of the left side.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -32,43 +33,73 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     )
 
 
+def heavy_hitters(df: DataFrame, keys: Sequence[str], share: float) -> dict[str, list]:
+    """For each of ``keys`` the values (None included) with about ``share`` of all rows or more, in one pass.
+
+    Every task keeps a mergeable sketch per key, so nothing is shuffled by key and the
+    driver gets at most ``1 / share`` values per key. The sketches may miss or add
+    values near ``share``; joins give the same rows whatever is listed.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share must be in (0, 1]")
+    wanted = math.ceil(1 / share)
+    tracked = min(1_000_000, max(1024, 8 * wanted))
+    sketches = [F.expr(f"approx_top_k(`{key}`, {wanted}, {tracked})").alias(f"k{i}") for i, key in enumerate(keys)]
+    found = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
+    least = max(1, found["n"] * share)
+    return {key: [v["item"] for v in found[f"k{i}"] or [] if v["count"] >= least] for i, key in enumerate(keys)}
+
+
+def in_list(key: str, values: Sequence) -> Column:
+    """Whether the key is one of ``values``; None lists NULL keys."""
+    some = [v for v in values if v is not None]
+    listed = F.coalesce(F.col(key).isin(some), F.lit(False)) if some else F.lit(False)
+    return listed | F.col(key).isNull() if len(some) < len(values) else listed
+
+
+def spread_slot(is_hot: Column, spread_by: Sequence[str], salts: int) -> Column:
+    """Slot 0, or one of ``salts`` slots where ``is_hot``."""
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]), F.lit(salts)).cast("int")
+    return F.when(is_hot, spread).otherwise(F.lit(0))
+
+
+def repeated_slots(is_hot: Column, salts: int) -> Column:
+    return F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
     left_key: str,
     right_key: str,
     residual: Column | None = None,
-    hot: DataFrame | None = None,
+    hot: DataFrame | Sequence | None = None,
     salts: int = 32,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left equi-join with an optional residual; ``right_key`` is dropped.
 
-    ``hot`` (from ``hot_keys``) lists keys to split: their left rows are spread
-    over ``salts`` slots by a hash of ``spread_by`` (default all columns) and
-    the matching right rows, only those, are repeated per slot. Rows with a
-    NULL key match nothing and are spread the same way.
+    ``hot`` lists keys to split, as values (from ``heavy_hitters``) or as a table (from
+    ``hot_keys``): their left rows are spread over ``salts`` slots by a hash of
+    ``spread_by`` (default all columns) and the matching right rows, only those, are
+    repeated per slot. Rows with a NULL key match nothing; they are spread the same way
+    where ``hot`` is a table or lists None.
     """
     condition = F.col(left_key) == F.col(right_key)
     if residual is not None:
         condition = condition & residual
-    if hot is None:
+    if hot is None or (not isinstance(hot, DataFrame) and not hot):
         return left.join(right, condition, "left").drop(right_key)
 
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in spread_by or left.columns])
-    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
-    left_slot = F.when(F.col("hot_key").isNotNull() | F.col(left_key).isNull(), spread).otherwise(F.lit(0))
-    salted_left = (
-        left.join(F.broadcast(hot), F.col(left_key) == F.col("hot_key"), "left")
-        .withColumn("_slot", left_slot)
-        .drop("hot_key")
-    )
-    slots = F.when(F.col("hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = (
-        right.join(F.broadcast(hot), F.col(right_key) == F.col("hot_key"), "left")
-        .withColumn("_right_slot", F.explode(F.coalesce(slots, F.array(F.lit(0)))))
-        .drop("hot_key")
-    )
+    if isinstance(hot, DataFrame):
+        hot = F.broadcast(hot)
+        left = left.join(hot, F.col(left_key) == F.col("hot_key"), "left")
+        right = right.join(hot, F.col(right_key) == F.col("hot_key"), "left")
+        on_left, on_right = F.col("hot_key").isNotNull() | F.col(left_key).isNull(), F.col("hot_key").isNotNull()
+    else:
+        on_left, on_right = in_list(left_key, hot), in_list(right_key, [v for v in hot if v is not None])
+    salted_left = left.withColumn("_slot", spread_slot(on_left, spread_by or [c for c in left.columns if c != "hot_key"], salts)).drop("hot_key")
+    salted_right = right.withColumn("_right_slot", F.explode(repeated_slots(on_right, salts))).drop("hot_key")
     condition = condition & (F.col("_slot") == F.col("_right_slot"))
     return salted_left.join(salted_right, condition, "left").drop(right_key, "_slot", "_right_slot")
 
@@ -82,7 +113,7 @@ def point_in_time_join(
     take: Mapping[str, str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    hot: DataFrame | None = None,
+    hot: DataFrame | Sequence | None = None,
     salts: int = 32,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from terrace.operators.dimensions import (
     with_bridge_count,
     with_unknown_member,
 )
-from terrace.operators.joins import hot_keys, left_join, point_in_time_join
+from terrace.operators.joins import heavy_hitters, hot_keys, left_join, point_in_time_join
 from terrace.operators.latest import best_per_key, current_assignment, dedupe_latest, duplicate_keys
 from terrace.operators.shape import Level, conform, flatten_hierarchy
 
@@ -187,3 +187,51 @@ def test_allocation_of_missing_values(frame):
     assert rows_of(out, "k", "line", "share") == [
         (1, 1, Decimal("0")), (1, 2, Decimal("0.428572")), (1, 3, Decimal("0.571428")), (2, 1, Decimal("0"))
     ]
+
+
+def cut_shares(lines, amount):
+    """Shares by whole numbers: cut toward zero, the smallest line takes the rest."""
+    units = int(amount * 10**6)
+    weights = {line: int(w * 10**6) for line, w in lines}
+    total = sum(weights.values())
+    cut = {line: abs(units * w) // total * (1 if units * w >= 0 else -1) for line, w in weights.items()}
+    cut[min(cut)] += units - sum(cut.values())
+    return {line: Decimal(c).scaleb(-6) for line, c in cut.items()}
+
+
+@pytest.mark.parametrize("hot", [[], [2, 5, 7]])
+def test_allocation_over_the_whole_range(frame, hot):
+    top = Decimal("999999999999999.9999")
+    orders = {
+        1: (Decimal("100000000000000.0001"), [Decimal(1), Decimal(1), Decimal(1)]),
+        2: (-top, [Decimal("12345678901234567890123.123456"), Decimal("7.5"), Decimal("0.000001")]),
+        3: (top, [Decimal("70000000000000"), Decimal("10000000000000.5"), Decimal("3")]),
+        4: (Decimal("2000000000000"), [Decimal("5"), Decimal("-2"), Decimal("0.1")]),
+        5: (Decimal("-0.0001"), [Decimal("3"), Decimal("3"), Decimal("3")]),
+        6: (Decimal("1000000000000"), [Decimal("10000000000000"), Decimal("1"), None]),
+        7: (top, [Decimal("0.000001"), Decimal("0.000001"), Decimal("0.000002")]),
+    }
+    rows = [(k, i, w) for k, (_, weights) in orders.items() for i, w in enumerate(weights)]
+    lines = frame(rows, "k int, line int, w decimal(38,6)")
+    heads = frame([(k, amount) for k, (amount, _) in orders.items()], "k int, freight decimal(19,4)")
+    out = allocate(lines, heads, "k", "w", {"share": "freight", "again": "freight"}, "line", hot=hot, salts=3)
+    got = {(r.k, r.line): r.share for r in out.collect()}
+    for k, (amount, weights) in orders.items():
+        want = cut_shares([(i, w) for i, w in enumerate(weights) if w is not None], amount)
+        assert {i: got[k, i] for i in want} == want
+        assert sum(got[k, i] for i in range(3)) == amount
+    assert out.filter("share <> again").count() == 0 and out.columns == ["k", "line", "w", "freight", "share", "again"]
+
+
+def test_allocation_of_weights_of_32_digits_sums_back(frame):
+    big = Decimal("3" * 31 + ".123456")
+    lines = frame([(1, 1, big), (1, 2, big), (1, 3, Decimal(1))], "k int, line int, w decimal(38,6)")
+    heads = frame([(1, Decimal("123456789.1234"))], "k int, freight decimal(19,4)")
+    shares = [r.share for r in allocate(lines, heads, "k", "w", {"share": "freight"}, "line").orderBy("line").collect()]
+    assert sum(shares) == Decimal("123456789.1234") and shares[1] == Decimal("61728394.561700") and shares[2] == 0
+
+
+def test_heavy_hitters_of_many_keys_in_one_pass(spark):
+    rows = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS a", "CASE WHEN id % 3 = 1 THEN 'hot' ELSE string(id) END AS b", "id AS c")
+    assert heavy_hitters(rows, ["a", "b", "c"], 0.1) == {"a": [None], "b": ["hot"], "c": []}
+    assert heavy_hitters(rows.limit(0), ["a", "b"], 0.1) == {"a": [], "b": []}

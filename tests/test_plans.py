@@ -8,6 +8,7 @@ from terrace.operators.latest import dedupe_latest
 from terrace.quality.checks import not_null
 from terrace.quality.suite import run_suite
 from terrace.showcase import QUERIES
+from terrace.showcase.operators import allocated_lines
 from terrace.showcase.quality import SUITE_ITEMS
 from terrace.showcase.registry import Tables
 
@@ -50,6 +51,16 @@ def test_row_local_checks_share_one_pass(t):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
+def test_allocation_shuffles_lines_once(spark, t):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(allocated_lines(t))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("FileScan") == 2  # lines and headers
+    assert text.count("SortMergeJoin") == 1
+
+
 def test_date_dimension_scans_once(t):
     assert plan(date_dimension(t.orders, ["o_orderdate"])).count("FileScan") == 1
 
