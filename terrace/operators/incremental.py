@@ -19,19 +19,22 @@ def incremental_slice(
     src_time: str,
     target_time: str,
     days: int,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
     """Rows no older than the target's newest time minus ``days``; everything on a first run.
 
     ``target`` is None on a first run, which also takes untimed rows; nothing is run to
     find out. The cutoff is a scalar subquery compared with the bare column, so it is
     pushed into the Parquet scan as a literal and prunes row groups. A target without
-    rows or times gives no cutoff and lets every timed row through.
+    rows or times gives no cutoff and lets every timed row through. ``marks`` (from
+    ``read_marks``: the largest time of each partition) stands in for a scan of the target.
     """
     if target is None:
         return src
     time_type = src.schema[src_time].dataType
-    newest = F.max(target_time) - F.make_interval(days=F.lit(days))
-    cutoff = target.agg(
+    known, column = (target, target_time) if marks is None else (marks, f"{target_time}_max")
+    newest = F.max(column) - F.make_interval(days=F.lit(days))
+    cutoff = known.agg(
         F.coalesce(newest.cast(time_type), F.lit(BEGINNING).cast(time_type)).alias("cutoff")
     ).scalar()
     return src.filter(F.col(src_time) >= cutoff)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,9 +219,9 @@ def order_flag_combinations(header: DataFrame, ship_method: DataFrame, credit_ca
 
 
 def order_lines_enriched(
-    detail: DataFrame, header: DataFrame, ship_method: DataFrame, credit_card: DataFrame
+    detail: DataFrame, header: DataFrame, ship_method: DataFrame, credit_card: DataFrame, hot_orders: Sequence = ()
 ) -> DataFrame:
-    """Order lines with header attributes and their share of freight and tax."""
+    """Order lines with header attributes and their share of freight and tax; ``hot_orders`` are split (see ``allocate``)."""
     described = _with_descriptors(
         header.select(
             "sales_order_bk",
@@ -251,6 +253,7 @@ def order_lines_enriched(
         "line_total",
         {"allocated_freight": "header_freight", "allocated_tax": "header_tax_amount"},
         "sales_order_detail_bk",
+        hot_orders,
     )
     return lines.select(
         "sales_order_line_bk",

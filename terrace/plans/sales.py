@@ -17,7 +17,7 @@ from ..functions.columns import (
 )
 from ..operators.dimensions import junk_lookup
 from ..operators.incremental import incremental_slice, merge_upsert
-from ..operators.joins import hot_keys, left_join, point_in_time_join
+from ..operators.joins import heavy_hitters, left_join, point_in_time_join
 from .intermediate import FLAG_DEFAULTS
 
 FACT_KEY = "sales_order_line_sk"
@@ -48,22 +48,22 @@ def sales_fact(
 
     Every lookup is a left join on a key that is unique in its dimension (or
     unique per moment), so no line is lost or repeated. ``hot_share`` splits
-    the keys above that share of the lines; without it skew is left to
+    the keys above that share of the lines, NULL included, found for all lookups
+    in one pass over ``lines`` (pass a stored table); without it skew is left to
     adaptive execution.
     """
     spread_by = ["sales_order_line_bk"]
-
-    def hot(line_key: str) -> DataFrame | None:
-        return None if hot_share is None else hot_keys(lines, line_key, hot_share)
+    line_keys = [line_key for _, line_key, _ in (*VERSIONED.values(), *CURRENT.values())]
+    hot = {} if hot_share is None else heavy_hitters(lines, line_keys, hot_share)
 
     resolved = lines
     for sk, (dim, line_key, dim_key) in VERSIONED.items():
         resolved = point_in_time_join(
-            resolved, dims[dim], line_key, dim_key, "order_date", {sk: sk}, hot=hot(line_key), spread_by=spread_by
+            resolved, dims[dim], line_key, dim_key, "order_date", {sk: sk}, hot=hot.get(line_key), spread_by=spread_by
         )
     for sk, (dim, line_key, dim_key) in CURRENT.items():
         right = dims[dim].select(F.col(dim_key).alias("_dim_key"), sk)
-        resolved = left_join(resolved, right, line_key, "_dim_key", hot=hot(line_key), spread_by=spread_by)
+        resolved = left_join(resolved, right, line_key, "_dim_key", hot=hot.get(line_key), spread_by=spread_by)
     resolved = junk_lookup(
         resolved, dims["dim_sales_order_junk"], "sales_order_junk_sk", list(FLAG_DEFAULTS)
     )
@@ -103,9 +103,13 @@ ORDER_BLOCK = "order_block"
 
 
 def recent_orders(
-    header: DataFrame, detail: DataFrame, target: DataFrame | None, lookback: str = "order_date"
+    header: DataFrame,
+    detail: DataFrame,
+    target: DataFrame | None,
+    lookback: str = "order_date",
+    marks: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Headers and all their lines, of the orders inside the lookback window of ``target``.
+    """Headers and all their lines, of the orders inside the lookback window of ``target`` (or its ``marks``).
 
     The window is cut before anything is joined or totalled: from the headers by order
     date, or from the lines by another ``lookback`` column. Where both tables are stored
@@ -116,7 +120,7 @@ def recent_orders(
         return header, detail
     by_header = lookback not in FACT_NAMES  # the time of change is the line's
     dated = header if by_header else detail
-    recent = incremental_slice(dated, target, lookback, FACT_NAMES.get(lookback, lookback), FACT_LOOKBACK_DAYS)
+    recent = incremental_slice(dated, target, lookback, FACT_NAMES.get(lookback, lookback), FACT_LOOKBACK_DAYS, marks)
     if ORDER_BLOCK in header.columns and ORDER_BLOCK in detail.columns:
         blocks = sorted(r[0] for r in recent.select(ORDER_BLOCK).distinct().collect())
         header, detail, recent = (t.filter(F.col(ORDER_BLOCK).isin(blocks)) for t in (header, detail, recent))

@@ -80,15 +80,17 @@ def stage(table: str | SourceTable, landed: DataFrame) -> DataFrame:
     return conform(latest, {c.name: staged_expression(spec, c) for c in spec.staged})
 
 
-def staged_batch(table: str | SourceTable, landed: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Staged rows modified since the target's newest less the lookback; all on a first run.
+def staged_batch(
+    table: str | SourceTable, landed: DataFrame, target: DataFrame | None, marks: DataFrame | None = None
+) -> DataFrame:
+    """Staged rows modified since the target's newest (or that of its ``marks``) less the lookback; all on a first run.
 
     The lookback compares the typed modification time. The batch is unique by
     construction: it was deduplicated on the columns of its key.
     """
     spec = SOURCES[table] if isinstance(table, str) else table
     timed = landed.withColumn("_modified", leading_timestamp(MODIFIED))
-    fresh = incremental_slice(timed, target, "_modified", "modified_at", LOOKBACK_DAYS).drop("_modified")
+    fresh = incremental_slice(timed, target, "_modified", "modified_at", LOOKBACK_DAYS, marks).drop("_modified")
     return stage(spec, fresh)
 
 

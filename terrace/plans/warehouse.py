@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import moment
 from ..operators.incremental import merge_upsert
+from ..operators.joins import heavy_hitters
 from ..quality import checks
 from ..quality.suite import enforce, run_suite
 from ..sources.registry import SOURCES, freshness_hours
@@ -18,7 +19,9 @@ from ..sources.tables import (
     holds_partitions,
     merge_partitions,
     read_current,
+    read_marks,
     read_partitions,
+    retire_runs,
     stored,
     write_partitions,
     write_version,
@@ -56,6 +59,7 @@ class Merged:
     keys: tuple[str, ...]
     partition: str
     partition_value: Callable[[], Column]
+    marks: tuple[str, ...]  # time columns whose bounds are kept for the next run's lookback
 
 
 def _order_block() -> Column:
@@ -64,9 +68,9 @@ def _order_block() -> Column:
 
 # All three are split by their order, which their keys contain, so no row ever moves.
 MERGED = {
-    "stg_sales_order_header": Merged(("sales_order_bk",), "order_block", _order_block),
-    "stg_sales_order_detail": Merged(("sales_order_line_bk",), "order_block", _order_block),
-    "fct_sales_detail": Merged((sales.FACT_KEY,), "order_block", _order_block),
+    "stg_sales_order_header": Merged(("sales_order_bk",), "order_block", _order_block, ("modified_at",)),
+    "stg_sales_order_detail": Merged(("sales_order_line_bk",), "order_block", _order_block, ("modified_at",)),
+    "fct_sales_detail": Merged((sales.FACT_KEY,), "order_block", _order_block, ("order_date", "updated_at")),
 }
 
 
@@ -74,6 +78,9 @@ MERGED = {
 # a version was closed: a run writes the open versions and those it closed itself.
 CLOSED_AT = "closed_at"
 
+# Keys with more of a batch's lines than this are split in the joins of a stored run.
+HOT_SHARE = 0.02
+
 
 def _closed_at() -> Column:
     return F.coalesce(F.unix_timestamp("valid_to"), F.lit(0))
@@ -88,6 +95,8 @@ def build(
     merge=lambda name, target, batch: merge_upsert(target, batch, MERGED[name].keys, check_unique=False),
     inspect=lambda tables: None,
     hot_share: float | None = None,
+    hold=lambda name, df: df,
+    marks: Mapping[str, DataFrame] | None = None,
 ) -> Warehouse:
     """Wire all models in dependency order.
 
@@ -96,16 +105,19 @@ def build(
     merge-loaded tables; both return what later models read: a lazy frame by
     default, a written table in ``run``. Models in between stay lazy and are
     optimised as part of their readers. ``inspect`` sees the landed, staging
-    and intermediate tables before anything is built on them.
+    and intermediate tables before anything is built on them. ``hold`` is called
+    on the enriched lines of the fact's batch, which are read once per lookup
+    where ``hot_share`` looks for keys to split. ``marks`` holds the kept time
+    bounds of the merge-loaded tables, which spare a scan of them.
     """
-    state = state or {}
+    state, marks = state or {}, marks or {}
     w = Warehouse(dict(landed))
     inspect(w.landed)
     w.staging = staging.stage_views(landed)
     orders: dict[str, DataFrame] = {}  # with their partition column, where they are stored
     for source in ("SalesOrderHeader", "SalesOrderDetail"):
         name = SOURCES[source].staged_as
-        batch = staging.staged_batch(source, landed[source], state.get(name))
+        batch = staging.staged_batch(source, landed[source], state.get(name), marks.get(name))
         orders[name] = merge(name, state.get(name), batch)
         w.staging[name] = orders[name].drop(MERGED[name].partition)
     s = w.staging
@@ -161,10 +173,12 @@ def build(
 
     stored_fact = state.get("fct_sales_detail")
     header, detail = sales.recent_orders(
-        orders["stg_sales_order_header"], orders["stg_sales_order_detail"], stored_fact
+        orders["stg_sales_order_header"], orders["stg_sales_order_detail"], stored_fact, marks=marks.get("fct_sales_detail")
     )
-    recent = intermediate.order_lines_enriched(detail, header, s["stg_ship_method"], s["stg_credit_card"])
-    batch = sales.fact_batch(recent, w.gold, stored_fact, hot_share=hot_share)
+    hot_orders = [] if hot_share is None else heavy_hitters(detail, [sales.ORDER], hot_share)[sales.ORDER]
+    recent = intermediate.order_lines_enriched(detail, header, s["stg_ship_method"], s["stg_credit_card"], hot_orders)
+    # Whole orders of the window were taken, so the lines need no second cut.
+    batch = sales.sales_fact(hold("recent_lines", recent), w.gold, hot_share)
     merged = merge("fct_sales_detail", stored_fact, batch)
     w.gold["fct_sales_detail"] = merged.drop(MERGED["fct_sales_detail"].partition)
     w.gold["mart_sales_summary"] = keep(
@@ -204,14 +218,17 @@ def run(
     as_of,
     initial_valid_from=None,
     check: bool = False,
-    hot_share: float | None = None,
+    hot_share: float | None = HOT_SHARE,
 ) -> Warehouse:
     """Build on top of the newest finished state under ``base`` and write the next.
 
     Each stored table is read back after its write, which cuts the lineage of
     everything after it and lets Catalyst see its true size. A merge-loaded
     table rewrites only the partitions its batch touches, a history only its
-    open versions and the ones closed by this run. With ``check`` the sources
+    open versions and the ones closed by this run. The lookbacks read the time
+    bounds that earlier runs kept with their partitions, keys with more than
+    ``hot_share`` of a batch's lines are split in its joins, and runs that neither
+    the newest state nor the one before reads are deleted. With ``check`` the sources
     must be fresh (``warnings`` names those at warn level) and the contracts of
     every table must hold before anything downstream is built.
     """
@@ -262,10 +279,12 @@ def run(
         how = MERGED[name]
         # The batch is read several times by the merge.
         split = stored(batch.withColumn(how.partition, how.partition_value()), f"{name}_batch")
-        merged = merge_partitions(split, f"{base}/{name}", how.keys, how.partition)
+        merged = merge_partitions(split, f"{base}/{name}", how.keys, how.partition, marks=how.marks)
+        retire_runs(spark, f"{base}/{name}")
         return checked(name, merged)
 
     warnings = require_fresh(freshness_report(landed, as_of)) if check else []
-    built = build(landed, as_of, state, initial_valid_from, keep, merge, inspect, hot_share)
+    marks = {name: read_marks(spark, f"{base}/{name}", how.partition, how.marks) for name, how in MERGED.items() if name in state}
+    built = build(landed, as_of, state, initial_valid_from, keep, merge, inspect, hot_share, lambda name, df: stored(df, name), marks)
     built.warnings = warnings
     return built

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.incremental import incremental_slice
 from ..plans.staging import stage, stage_incremental
 from ..sources.delimited import land, landing_file, read_delimited, with_loaded_at
 from ..sources.registry import SOURCES
-from ..sources.tables import new_folder
+from ..sources.tables import merge_partitions, new_folder, read_marks, retire_runs, stored
 from .registry import ORACLES, Tables, query
 
 LOADED = "2002-01-01 00:00:00"
@@ -293,3 +294,31 @@ def ingest_delimited(t: Tables) -> DataFrame:
     return with_loaded_at(
         read_delimited(t.spark, path, ["CustomerKey", "Name", "Segment", "Balance"], sep="+|"), LOADED
     )
+
+
+@query("""
+WITH o AS (
+  SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(12,2)) AS total, o_orderdate FROM orders
+), late AS (
+  SELECT max(o_orderdate) - INTERVAL 7 DAY AS cutoff FROM o WHERE o_orderdate < TIMESTAMP '2000-01-01'
+)
+SELECT o_orderkey, o_custkey, CAST(CASE WHEN o_orderdate >= cutoff THEN total + 1 ELSE total END AS DOUBLE) AS o_totalprice, o_orderdate,
+       CAST(floor(o_orderkey / 16384) AS INTEGER) AS order_block
+FROM o, late WHERE o_orderdate < TIMESTAMP '2000-01-01' OR o_orderdate >= cutoff
+""")
+def stored_merge_orders(t: Tables) -> DataFrame:
+    """A first load and an increment into a stored table: the lookback reads the kept bounds, the merge only touched blocks."""
+    base = new_folder(t.spark, "stored-orders")
+    total = F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice")
+    block = F.floor(F.col("o_orderkey") / 16384).cast("int").alias("order_block")
+    orders = t.orders.select("o_orderkey", "o_custkey", total, "o_orderdate", block)
+
+    def merge(batch: DataFrame) -> DataFrame:
+        return merge_partitions(stored(batch, "orders-batch"), base, ["o_orderkey"], "order_block", marks=["o_orderdate"])
+
+    target = merge(orders.filter(F.col("o_orderdate") < F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
+    marks = read_marks(t.spark, base, "order_block", ["o_orderdate"])
+    changed = orders.withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(12,2)"))
+    merged = merge(incremental_slice(changed, target, "o_orderdate", "o_orderdate", 7, marks))
+    retire_runs(t.spark, base)
+    return merged

@@ -12,11 +12,12 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import merge_upsert
+from ..operators.incremental import merge_upsert, require_unique
 
 VERSION_PREFIX = "version="
 
@@ -91,6 +92,8 @@ def write_version(df: DataFrame, base: str) -> DataFrame:
 RUN_PREFIX = "run="
 # Holds a run's columns and types; readers of data skip names that begin so.
 SHAPE = "_shape"
+# Holds one row per partition the run replaced: the smallest and largest of some columns in it.
+MARKS = "_marks"
 
 
 def _finished_partitions(spark: SparkSession, base: str) -> tuple[dict[str, str], list[str], int]:
@@ -142,12 +145,50 @@ def holds_partitions(spark: SparkSession, base: str) -> bool:
     return bool(_finished_partitions(spark, base)[0])
 
 
-def write_partitions(df: DataFrame, base: str, partition: str, values: Sequence[int]) -> DataFrame:
+def _marked(df: DataFrame, partition: str, columns: Sequence[str]) -> DataFrame:
+    bounds = [f(c).alias(f"{c}_{end}") for c in columns for f, end in ((F.min, "min"), (F.max, "max"))]
+    return df.groupBy(partition).agg(*bounds)
+
+
+def read_marks(spark: SparkSession, base: str, partition: str, columns: Sequence[str]) -> DataFrame | None:
+    """``<column>_min`` and ``<column>_max`` of each partition, as its newest finished run left them; None before the first run.
+
+    A run keeps the marks of the partitions it replaced, so this reads one small row
+    per partition and run. Only partitions whose run kept no such marks are scanned.
+    """
+    newest, finished, _ = _finished_partitions(spark, base)
+    if not finished:
+        return None
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    names = [f"{c}_{end}" for c in columns for end in ("min", "max")]
+    parts = []
+    for folder in finished:
+        number = int(folder.rsplit(RUN_PREFIX, 1)[1])
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{MARKS}/_SUCCESS")
+        kept = spark.read.parquet(f"{folder}/{MARKS}") if path.getFileSystem(conf).exists(path) else None
+        if kept is None or not set(names) <= set(kept.columns):
+            owned = [p for p in newest.values() if p.startswith(f"{folder}/")]
+            if not owned:
+                continue
+            schema = spark.read.parquet(f"{folder}/{SHAPE}").schema
+            kept = _marked(spark.read.schema(schema).option("basePath", folder).parquet(*owned), partition, columns)
+        parts.append(kept.select(partition, F.lit(number).alias("_run"), F.struct(*names).alias("_marks")))
+    if not parts:
+        return None
+    every = reduce(DataFrame.unionByName, parts).groupBy(partition).agg(F.max_by("_marks", "_run").alias("_marks"))
+    return every.select(partition, "_marks.*")
+
+
+def write_partitions(
+    df: DataFrame, base: str, partition: str, values: Sequence[int], marks: Sequence[str] = ()
+) -> DataFrame:
     """Replace the partitions ``values`` by the rows ``df`` has for them; the others stay.
 
     Each run writes to a directory of its own, which readers take up when Spark
     has committed it: a run that loses executors or fails leaves the table as
     it was. A replaced partition without rows is an empty directory of the run.
+    The bounds of the columns ``marks`` are kept with the run (see ``read_marks``),
+    computed from what it wrote; a run that ends before that is read as one without.
     """
     spark = df.sparkSession
     _, _, last = _finished_partitions(spark, base)
@@ -161,19 +202,35 @@ def write_partitions(df: DataFrame, base: str, partition: str, values: Sequence[
     # Rebalancing keeps one partition in few files and splits one that is large.
     balanced = df.filter(F.col(partition).isin(list(values))).hint("rebalance", F.col(partition))
     balanced.write.mode("append").partitionBy(partition).parquet(folder)
+    if marks:
+        kind = df.schema[partition].dataType.simpleString()
+        replaced = spark.createDataFrame([(v,) for v in values], f"`{partition}` {kind}")
+        written = spark.read.schema(df.schema).option("basePath", folder)
+        written = written.parquet(*[f"{folder}/{partition}={v}" for v in values]) if values else df.limit(0)
+        found = _marked(written, partition, marks)
+        replaced.join(found, partition, "left").coalesce(1).write.parquet(f"{folder}/{MARKS}")
     return read_partitions(spark, base)
 
 
 def merge_partitions(
-    updates: DataFrame, base: str, keys: Sequence[str], partition: str, rows_move: bool = False
+    updates: DataFrame,
+    base: str,
+    keys: Sequence[str],
+    partition: str,
+    rows_move: bool = False,
+    marks: Sequence[str] = (),
+    check_unique: bool = True,
 ) -> DataFrame:
     """Keyed merge into a partitioned table that rewrites only the partitions it touches.
 
     ``partition`` is an integer, never NULL. Where it follows from the key, the batch's
     own partitions are the touched ones and no other is read. Otherwise pass
     ``rows_move``: the partitions that now hold one of the batch's keys are rewritten
-    too, which scans the key columns of the whole table.
+    too, which scans the key columns of the whole table. A batch with a repeated key is
+    an error. ``updates`` is read several times: pass a stored table.
     """
+    if check_unique:
+        require_unique(updates, keys)
     target = read_partitions(updates.sparkSession, base)
     touched = updates.select(partition)
     if target is not None and rows_move:
@@ -181,11 +238,36 @@ def merge_partitions(
     # One small value per touched partition; the merge below reads no others.
     values = sorted(r[0] for r in touched.distinct().collect())
     if target is None:
-        return write_partitions(updates, base, partition, values)  # also without rows: the table's columns
+        return write_partitions(updates, base, partition, values, marks)  # also without rows: the table's columns
     if not values:
         return target
     merged = merge_upsert(target.filter(F.col(partition).isin(values)), updates, keys, check_unique=False)
-    return write_partitions(merged, base, partition, values)
+    return write_partitions(merged, base, partition, values, marks)
+
+
+def retire_runs(spark: SparkSession, base: str, states: int = 2) -> list[str]:
+    """Delete the finished runs that none of the last ``states`` states of the table reads; returns their folders.
+
+    A state is what readers saw after one finished run. With two, a reader that opened
+    the table before the newest run still finds all its files. Unfinished runs stay.
+    """
+    _, finished, _ = _finished_partitions(spark, base)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    held: dict[str, str] = {}
+    needed: set[str] = set(finished[-states:])
+    for place, folder in enumerate(finished):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        for status in path.getFileSystem(conf).listStatus(path):
+            name = status.getPath().getName()
+            if status.isDirectory() and "=" in name:
+                held[name] = folder
+        if place >= len(finished) - states:
+            needed |= set(held.values())
+    gone = [folder for folder in finished if folder not in needed]
+    for folder in gone:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,6 +1,7 @@
 import pytest
-from conftest import rows_of
+from conftest import rows_of, ts
 
+from terrace.operators.incremental import DuplicateKeys, incremental_slice
 from terrace.sources.delimited import ingest, read_delimited
 from terrace.sources.registry import SOURCES
 from terrace.sources.tables import (
@@ -8,7 +9,9 @@ from terrace.sources.tables import (
     materialize,
     merge_partitions,
     read_current,
+    read_marks,
     read_partitions,
+    retire_runs,
     save_overwrite,
     source,
     write_partitions,
@@ -109,3 +112,43 @@ def test_empty_first_batch_and_empty_partitions(spark, frame, tmp_path):
     assert rows_of(second, "k", "v", "part") == [(1, "a", 3)]
     assert write_partitions(frame([], schema), base, "part", [3]).count() == 0
     assert read_partitions(spark, base).count() == 0
+
+
+def test_kept_marks_follow_the_newest_run_of_each_partition(spark, frame, tmp_path):
+    schema, base = "k int, at timestamp, part int", str(tmp_path / "t")
+    assert read_marks(spark, base, "part", ["at"]) is None
+    first = frame([(1, ts("2014-01-01"), 1), (2, ts("2014-01-09"), 2), (3, ts("2014-01-05"), 2)], schema)
+    merge_partitions(first, base, ["k"], "part", marks=["at"])
+    merge_partitions(frame([(4, ts("2014-02-01"), 3)], schema), base, ["k"], "part")  # a run without marks: its partition is scanned
+    write_partitions(frame([(2, ts("2014-01-02"), 2)], schema), base, "part", [2, 3], marks=["at"])
+    marks = read_marks(spark, base, "part", ["at"])
+    assert rows_of(marks, "part", "at_min", "at_max") == [
+        (1, ts("2014-01-01"), ts("2014-01-01")), (2, ts("2014-01-02"), ts("2014-01-02")), (3, None, None)
+    ]
+    src = frame([(d, ts(f"2014-01-{d:02d}")) for d in range(1, 10)], "d int, at timestamp")
+    target = read_partitions(spark, base)
+    late = incremental_slice(src, target, "at", "at", 1, marks)
+    assert rows_of(late, "d") == rows_of(incremental_slice(src, target, "at", "at", 1), "d") == [(d,) for d in range(1, 10)]
+    scanned = late._jdf.queryExecution().optimizedPlan().toString()
+    assert "part=" not in scanned and f"{base}/run=1/part" not in scanned
+
+
+def test_a_batch_with_a_repeated_key_is_refused(frame, tmp_path):
+    with pytest.raises(DuplicateKeys):
+        merge_partitions(frame([(1, 1), (1, 1)], "k int, part int"), str(tmp_path / "t"), ["k"], "part")
+
+
+def test_superseded_runs_are_retired_and_the_state_before_stays_readable(spark, frame, tmp_path):
+    schema, base = "k int, v int, part int", str(tmp_path / "t")
+    before = None
+    for run in range(1, 8):
+        rows = [(k, run, k % 3) for k in range(6) if run == 1 or k % 3 == run % 2]
+        merged = merge_partitions(frame(rows, schema), base, ["k"], "part", marks=["v"])
+        retire_runs(spark, base)
+        want = {k: max(r for r in range(1, run + 1) if r == 1 or k % 3 == r % 2) for k in range(6)}
+        assert {r.k: r.v for r in merged.collect()} == want
+        if before is not None:
+            assert {r.k: r.v for r in before[0].collect()} == before[1]
+        before = merged, want
+        assert len(list((tmp_path / "t").glob("run=*"))) <= 4
+    assert {r.part: r.v_max for r in read_marks(spark, base, "part", ["v"]).collect()} == {0: 6, 1: 7, 2: 1}
