@@ -23,24 +23,34 @@ def sha256(content: Column) -> Column:
     return F.unhex(F.sha2(content, 256))
 
 
+def _winners(rows: DataFrame, salts: int) -> DataFrame:
+    """(digest, content, keep, n) of ``rows``: combined in each map task, then per salt, then the winners of the salts."""
+    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")
+    salted = rows.groupBy("digest", salt, "content").agg(F.min("id").alias("keep"), F.count(F.lit(1)).alias("n"))
+    return salted.groupBy("digest", "content").agg(F.min("keep").alias("keep"), F.sum("n").alias("n"))
+
+
 def exact_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
     digest: Callable[[Column], Column] = sha256,
     salts: int = 32,
+    broadcast_digests: int = 200_000,
 ) -> DataFrame:
     """Group every row with the rows of equal normalised text.
 
     Returns one row per input row: ``id_column``, ``digest``, ``keep_id`` (the
     smallest id of the group), ``group_size`` (rows), ``kept``.
 
-    A digest that occurs once has no one to be compared with. Rows of repeated
-    digests carry their content through three steps: copies meet within each map
-    task first, then per (digest, salt, content), and one winner of each salt goes
-    into the global merge, so a text that a third of all rows share arrives there
-    as at most ``salts`` rows. Content is part of the key in all steps: texts with
-    equal digests stay apart, and rows of such a digest find their group by content.
+    Copies meet within each map task first, then per (digest, salt, content), and one
+    winner of each salt goes into the global merge, so a text that a third of all rows
+    share arrives there as at most ``salts`` rows. Content is part of the key in all
+    steps: texts with equal digests stay apart, and rows of such a digest find their
+    group by content. A digest that occurs once has no one to be compared with: while
+    the repeated digests are few enough to be sent to all tasks (``broadcast_digests``,
+    counted before), texts of other digests are left out of the steps where they stand;
+    beyond that all texts go through them.
 
     Null text counts as empty. Ids that are null never win against others; a group
     of null ids only has a null ``keep_id``. Rows that repeat an id in one group are
@@ -50,14 +60,9 @@ def exact_groups(
     rows = rows.select("id", "content", digest(F.col("content")).alias("digest"))
     digests = saved(rows.select("id", "digest"), "digests")
     repeated = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")
-    salted = (
-        rows.join(repeated.hint("shuffle_hash"), "digest", "left_semi")
-        .groupBy("digest", salt, "content")
-        .agg(F.min("id").alias("keep"), F.count(F.lit(1)).alias("n"))
-    )
-    winners = salted.groupBy("digest", "content").agg(F.min("keep").alias("keep"), F.sum("n").alias("n"))
-    winners = saved(winners, "winners")
+    repeated = saved(repeated, "repeated-digests")
+    few = repeated.count() <= broadcast_digests
+    winners = saved(_winners(rows.join(F.broadcast(repeated), "digest", "left_semi") if few else rows, salts), "winners")
     variants = winners.groupBy("digest").agg(
         F.count(F.lit(1)).alias("variants"), F.min("keep").alias("keep"), F.sum("n").alias("n")
     )

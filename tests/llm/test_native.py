@@ -179,3 +179,22 @@ def test_all_sources_at_their_caps(spark):
 def test_text_hash_is_lower_hex(spark):
     row = exact_dedup.exact_groups(awkward(spark)).where("doc_id = 8").first()
     assert row["digest"].hex() == hashlib.sha256(b"One TWO").hexdigest()
+
+
+def test_copies_are_combined_before_and_after_a_salted_shuffle(spark):
+    rows = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('t', id) END AS content")
+    rows = rows.withColumn("digest", exact_dedup.sha256(F.col("content")))
+    winners = exact_dedup._winners(rows, 8)
+    text = winners._jdf.queryExecution().sparkPlan().toString()
+    kinds = [line.strip(" +-:") for line in winners._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line or "Aggregate" in line]
+    kinds = [k for k in kinds if k.startswith(("Exchange", "HashAggregate", "ObjectHash", "SortAgg"))]
+    steps = [re.split(r"[ (]", k)[0] for k in kinds]
+    assert steps == ["HashAggregate", "Exchange", "HashAggregate", "HashAggregate", "Exchange", "HashAggregate"] and "Join" not in text
+    assert "content" in kinds[4] and "pmod" in kinds[4]
+    salted = rows.where("content = 'hot'").groupBy(F.pmod(F.xxhash64("id"), F.lit(8))).count().count()
+    assert salted == 8 and [tuple(r) for r in winners.where("n > 1").select("keep", "n").collect()] == [(0, 1000)]
+
+
+def test_texts_beyond_the_broadcast_bound_give_the_same_groups(spark):
+    some = exact_dedup.exact_groups(awkward(spark)).collect()
+    assert in_order(map(tuple, exact_dedup.exact_groups(awkward(spark), broadcast_digests=0).collect())) == in_order(map(tuple, some))
