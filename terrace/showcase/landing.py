@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.incremental import incremental_slice
 from ..plans.staging import stage, stage_incremental
 from ..sources.delimited import land, landing_file, read_delimited, with_loaded_at
+from ..sources.records import read_records
 from ..sources.registry import SOURCES
 from ..sources.tables import merge_partitions, new_folder, read_marks, retire_runs, stored
 from .registry import ORACLES, Tables, query
@@ -296,6 +297,23 @@ def ingest_delimited(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS "CustomerKey", c_mktsegment || chr(10) || 'of "' || c_name || '"+|' AS "Note",
+       CASE WHEN c_acctbal >= 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) END AS "Balance",
+       c_nationkey || '" rack' AS "Shelf", '2002-01-01 00:00:00' AS "LoadedAt"
+FROM customer
+""")
+def ingest_multiline(t: Tables) -> DataFrame:
+    """Customers with a quoted note over two lines, which holds quotes and a separator, and a stray quote elsewhere."""
+    path = new_folder(t.spark, "customer_notes")
+    note = F.concat(F.lit('"'), "c_mktsegment", F.lit('\nof ""'), "c_name", F.lit('""+|"'))
+    balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    shelf = F.concat(F.col("c_nationkey").cast("string"), F.lit('" rack'))
+    fields = [F.col("c_custkey").cast("string"), note, F.coalesce(balance, F.lit("")), shelf]
+    t.customer.select(F.concat_ws("+|", *fields).alias("value")).write.text(path)
+    return with_loaded_at(read_records(t.spark, path, ["CustomerKey", "Note", "Balance", "Shelf"], "+|"), LOADED)
+
+
 @query("""
 WITH o AS (
   SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(12,2)) AS total, o_orderdate FROM orders

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import moment
+from .records import read_records
 from .registry import SOURCES, SourceTable
 from .tables import save_overwrite, source
 
@@ -39,8 +40,11 @@ def with_loaded_at(df: DataFrame, as_of) -> DataFrame:
     return df.withColumn("LoadedAt", moment(as_of).cast("string"))
 
 
-def ingest(spark: SparkSession, table: str | SourceTable, path: str, as_of) -> DataFrame:
+def ingest(spark: SparkSession, table: str | SourceTable, path: str, as_of, split: bool = False) -> DataFrame:
+    """The landed form of one extract; with ``split``, many tasks read a multi-line file, after a first job over it."""
     spec = SOURCES[table] if isinstance(table, str) else table
+    if split and spec.multiline:
+        return with_loaded_at(read_records(spark, path, spec.columns, spec.separator), as_of)
     return with_loaded_at(read_delimited(spark, path, spec.columns, spec.separator, spec.multiline), as_of)
 
 
@@ -61,7 +65,7 @@ def missing_inputs(spark: SparkSession, landing: str, tables: Iterable[str] = SO
 
 
 def ingest_all(
-    spark: SparkSession, landing: str, as_of, tables: Iterable[str] = SOURCES
+    spark: SparkSession, landing: str, as_of, tables: Iterable[str] = SOURCES, split: bool = False
 ) -> dict[str, DataFrame]:
     """Every landed table, or one error that names all missing files."""
     tables = list(tables)
@@ -70,14 +74,14 @@ def ingest_all(
         raise FileNotFoundError(
             f"{len(absent)} of {len(tables)} source files missing under {landing}: {', '.join(absent)}"
         )
-    return {t: ingest(spark, t, landing_file(landing, t), as_of) for t in tables}
+    return {t: ingest(spark, t, landing_file(landing, t), as_of, split) for t in tables}
 
 
 def land(
     spark: SparkSession, landing: str, base: str, as_of, tables: Iterable[str] = SOURCES
 ) -> dict[str, DataFrame]:
     """Land every source once as a stored all-text table under ``base``; later readers scan those, not the text."""
-    landed = ingest_all(spark, landing, as_of, tables)
+    landed = ingest_all(spark, landing, as_of, tables, split=True)
     for name, df in landed.items():
         save_overwrite(df, f"{base}/{name}")
     return {name: source(spark, f"{base}/{name}") for name in landed}
