@@ -39,6 +39,14 @@ class SparseRows:
         row, column = np.nonzero(x)
         return cls(np.searchsorted(row, np.arange(len(x))), column, x[row, column], x.shape[1])
 
+    def take(self, places: np.ndarray) -> SparseRows:
+        ends = np.append(self.starts[1:], len(self.columns))
+        held = [slice(a, b) for a, b in zip(self.starts[places], ends[places])]
+        none = [np.empty(0, np.int64)]
+        sizes = np.array([h.stop - h.start for h in held], np.int64)
+        parts = (np.concatenate([a[h] for h in held] or none) for a in (self.columns, self.values))
+        return SparseRows(np.cumsum(sizes) - sizes, *parts, self.width)
+
     def __post_init__(self):
         sizes = np.diff(np.append(self.starts, len(self.columns)))
         self.filled = np.flatnonzero(sizes)
@@ -98,7 +106,15 @@ class FactorMachine:
 
 
 def fit_machine(
-    terms: np.ndarray, x: np.ndarray | SparseRows, y: np.ndarray, size: int = 4, rounds: int = 160, seed: int = 5, trust: np.ndarray | None = None
+    terms: np.ndarray,
+    x: np.ndarray | SparseRows,
+    y: np.ndarray,
+    size: int = 4,
+    rounds: int = 160,
+    seed: int = 5,
+    trust: np.ndarray | None = None,
+    weight_penalty: float = 1e-4,
+    factor_penalty: float = 5e-2,
 ) -> FactorMachine:
     """Adam on the penalised log-loss of all sample rows; without both classes the score is constant.
 
@@ -122,8 +138,8 @@ def fit_machine(
         raw = model._raw(both[:, 0], sums, rows.times((model.factors**2).sum(1)[:, None], squares)[:, 0])
         error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) / len(y)
         back = rows.sums(np.column_stack([error, error[:, None] * sums]))
-        g_weights = back[:, 0] * trust + 1e-4 * model.weights / trust
-        g_factors = back[:, 1:] - model.factors * rows.sums(error[:, None], squared=True) + 1.5e-2 * model.factors
+        g_weights = back[:, 0] * trust + weight_penalty * model.weights / trust
+        g_factors = back[:, 1:] - model.factors * rows.sums(error[:, None], squared=True) + factor_penalty * model.factors
         g = np.concatenate([[error.sum()], g_weights, g_factors.ravel()])
         if t <= rounds // 2:  # weights first: the pairs explain what they leave
             g[1 + width :] = 0
@@ -151,7 +167,20 @@ def fit_toxicity(
     its frequency gives is shrunk the more, the fewer they are; its factors are not, so
     terms that are neutral alone can be toxic in pairs. The sample's distinct terms with
     their counts, but no texts, reach the driver.
+
+    The defaults of ``z`` and of ``fit_machine`` come from folds inside the training
+    rows (``toxicity_settings``). Null and empty texts are texts without terms; null
+    ids and labels are not sampled, of rows that repeat an id one is; other columns are
+    ignored; an empty table gives a constant score.
     """
+    terms, x, y = training_data(docs, labels, keep, limit, id_column, text_column)
+    return fit_machine(terms, x, y, trust=trusted(x, y, z))
+
+
+def training_data(
+    docs: DataFrame, labels: DataFrame, keep: Column, limit: int, id_column: str = "doc_id", text_column: str = "text"
+) -> tuple[np.ndarray, SparseRows, np.ndarray]:
+    """The sample's distinct terms, its rows over them (last, the length) and its labels, ordered by id."""
     sample = labelled_sample(docs, labels, "toxic", keep, limit, id_column, text_column)
     kind = sample.schema["id"].dataType.simpleString()
 
@@ -176,7 +205,7 @@ def fit_toxicity(
     values = [np.append(1 + np.log(c), np.log1p(k) / 5) for c, k in zip(counts, n)]
     none = [np.empty(0, np.int64)]
     x = SparseRows(np.cumsum(sizes) - sizes, np.concatenate(columns or none), np.concatenate(values or none), len(terms) + 1)
-    return fit_machine(terms, x, y, trust=trusted(x, y, z))
+    return terms, x, y
 
 
 def trusted(x: SparseRows, y: np.ndarray, z: float) -> np.ndarray:
