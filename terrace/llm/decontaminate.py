@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, ascii_lower, saved
 
 BROADCAST_WINDOWS = 100_000
+PASS_WINDOWS = 1 << 21
 
 
 def words_of(text: Column) -> Column:
@@ -26,18 +29,33 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_column: str = "item_id"
     return windows.select("item", "len", F.array_join("window", " ").alias("window"), F.xxhash64("window").alias("hash")).distinct()
 
 
+def places(value: Column, bits: int) -> list[Column]:
+    """The bits of a hash set that stand for ``value``: three overlapping parts of the hash."""
+    return [F.pmod(F.shiftrightunsigned(value, part), F.lit(1 << bits)) for part in (0, 20, 40)]
+
+
+def set_bits(windows: int, least: int = 20, most: int = 24) -> int:
+    """Eight bits a window or more, a power of two from ``2**least`` to ``2**most``: at most about 3 % of other windows pass."""
+    return min(max((8 * max(windows, 1) - 1).bit_length(), least), most)
+
+
 def hash_set(windows: DataFrame, bits: int) -> list[int]:
-    """The hashes as a bitmap of ``2**bits`` bits in 64-bit words: its size does not depend on the benchmark."""
-    spot = F.pmod("hash", F.lit(1 << bits))
-    word = windows.select(F.shiftright(spot, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(hash, {1 << bits}) & 63 as int))").alias("bit"))
-    found = {r["word"]: r["bits"] for r in word.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()}
+    """The hashes as a bitmap of ``2**bits`` bits in 64-bit words."""
+    spots = windows.select(F.explode(F.array(*places(F.col("hash"), bits))).alias("spot"))
+    bit = F.expr("shiftleft(1L, cast(spot & 63 as int))")
+    words = spots.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found = {r["word"]: r["bits"] for r in words.collect()}  # at most 2**(bits - 6) rows
     return [found.get(i, 0) for i in range(1 << max(bits - 6, 0))]
 
 
 def in_set(bitmap: Column, bits: int, value: Column) -> Column:
-    spot = F.pmod(value, F.lit(1 << bits))
-    word = F.element_at(bitmap, (F.shiftright(spot, 6) + 1).cast("int"))
-    return F.getbit(word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
+    """Whether all places of ``value`` are set; the first one that is not ends the test."""
+
+    def set_at(spot: Column) -> Column:
+        word = F.element_at(bitmap, (F.shiftright(spot, 6) + 1).cast("int"))
+        return F.getbit(word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return reduce(Column.__and__, map(set_at, places(value, bits)))
 
 
 def contaminated(
@@ -47,13 +65,16 @@ def contaminated(
     id_column: str = "doc_id",
     text_column: str = "text",
     item_column: str = "item_id",
-    bits: int = 20,
+    bits: int | None = None,
 ) -> DataFrame:
     """Find every occurrence of a benchmark window in every document.
 
-    The windows' hashes go to all tasks as a bitmap of ``2**bits`` bits, whatever the
-    size of the benchmark; each document tests its own windows against it inside its
-    row, with no row per window. What passes carries its words along and is verified
+    The windows' hashes go to all tasks as a set of bits, three a window, sized by the
+    number of windows (``set_bits``: 2 MB at most; ``bits`` sets it by hand); each
+    document tests its own windows against it inside its row, with no row per window.
+    More than ``PASS_WINDOWS`` windows are split by ranges of their hashes, and the
+    documents, written once, are tested in as many passes, so that neither the set nor
+    the share of other windows that pass grows with the benchmark. What passes carries its words along and is verified
     by an exact join with the windows, which is a broadcast up to
     ``BROADCAST_WINDOWS`` rows and an ordinary join beyond.
 
@@ -71,24 +92,45 @@ def contaminated(
         F.xxhash64(F.col(text_column)).alias("text_hash"),
         words_of(F.col(text_column)).alias("words"),
     )
-    bitmap = F.split(F.lit(",".join(map(str, hash_set(windows, bits)))), ",").cast("array<bigint>")
+    total = windows.count()
+    passes = max(1, -(-total // PASS_WINDOWS))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if passes > 1:
+        rows = saved(rows, "decontaminate-words")
+
+    def in_pass(value: Column, number: int) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(passes)) == number if passes > 1 else F.lit(True)
 
-    def candidates(size: int) -> Column:
+    def candidates(size: int, number: int, bitmap: Column, width: int) -> Column:
         starts = F.when(F.size("words") >= size, F.sequence(F.lit(1), F.size("words") - size + 1)).otherwise(F.array().cast("array<int>"))
-        passing = F.filter(starts, lambda i: in_set(bitmap, bits, F.xxhash64(F.slice("words", i, size))))
+
+        def passes_set(i: Column) -> Column:
+            value = F.xxhash64(F.slice("words", i, size))
+            tested = in_set(bitmap, width, value)
+            return in_pass(value, number) & tested if passes > 1 else tested
+
         return F.transform(
-            passing,
+            F.filter(starts, passes_set),
             lambda i: F.struct(
                 (i - 1).alias("start"), F.lit(size).alias("len"), F.array_join(F.slice("words", i, size), " ").alias("window")
             ),
         )
 
-    found = F.concat(*map(candidates, sizes)) if sizes else F.expr("cast(array() as array<struct<start:int,len:int,window:string>>)")
-    scanned = rows.select("id", "text_hash", F.size("words").cast("long").alias("n_words"), found.alias("found"))
-    scanned = saved(scanned.withColumn("row", F.monotonically_increasing_id()), "scanned")
-
-    spots = scanned.select("row", F.inline("found"))
-    few = windows.count() <= BROADCAST_WINDOWS
+    def scan(number: int) -> DataFrame:
+        part = windows.where(in_pass(F.col("hash"), number))
+        width = bits or set_bits(-(-total // passes))
+        bitmap = F.split(F.lit(",".join(map(str, hash_set(part, width)))), ",").cast("array<bigint>")
+        found = F.concat(*[candidates(size, number, bitmap, width) for size in sizes])
+        return rows.select("id", "text_hash", F.size("words").cast("long").alias("n_words"), "row", found.alias("found"))
+
+    if sizes:
+        scans = [saved(scan(number), "scanned") for number in range(passes)]
+    else:
+        nothing = F.expr("cast(array() as array<struct<start:int,len:int,window:string>>)")
+        scans = [saved(rows.select("id", "text_hash", F.size("words").cast("long").alias("n_words"), "row", nothing.alias("found")), "scanned")]
+    scanned = scans[0]
+    spots = reduce(DataFrame.union, [s.select("row", F.inline("found")) for s in scans])
+    few = total <= BROADCAST_WINDOWS
 
     def against(right: DataFrame) -> DataFrame:
         return F.broadcast(right) if few else right

@@ -70,6 +70,26 @@ def test_small_bitmap_only_costs_candidates(spark):
     )
 
 
+def test_windows_beyond_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PASS_WINDOWS", 7)
+    items = [(10, prose(3, 25)), (2, "One, two"), (1, prose(8, 14))]
+    found = decontaminate.contaminated(awkward(spark), benchmark(spark, [(i, t, "x") for i, t in items]))
+    got = [(r["doc_id"], r["n_words"], r["hits"], r["items"]) for r in found.collect()]
+    assert in_order(got) == in_order((i, *brute_hits(t, items)) for i, t, *_ in awkward_rows())
+
+
+def test_a_full_pass_lets_few_other_windows_through(spark):
+    windows = decontaminate.PASS_WINDOWS
+    bits = decontaminate.set_bits(windows)
+    assert bits == 24 and decontaminate.set_bits(1) == 20
+    bitmap = decontaminate.hash_set(spark.range(windows).select(F.xxhash64("id").alias("hash")), bits)
+    value = F.xxhash64("id")
+    table = F.split(F.lit(",".join(map(str, bitmap))), ",").cast("array<bigint>")
+    others = spark.range(windows, windows + 20_000).where(decontaminate.in_set(table, bits, value)).count()
+    assert others < 0.05 * 20_000
+    assert spark.range(5_000).where(decontaminate.in_set(table, bits, value)).count() == 5_000
+
+
 def test_decontaminated_drops_documents_or_spans(spark):
     docs, table = awkward(spark), benchmark(spark, [(1, prose(3, 12), "x"), (2, "one two", "y")])
     kept = decontaminate.decontaminated(docs, table)
