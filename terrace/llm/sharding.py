@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
+BROADCAST_TEXTS = 100_000
+COPIES = 1000
+
 
 def hilbert_indexes(bits: int, dimensions: int) -> list[int]:
     """The curve index of every cell, cells numbered with the first dimension in the highest bits."""
@@ -58,6 +61,19 @@ def quantised(column: Column, cuts: list[float]) -> Column:
     return F.size(F.filter(F.lit(cuts), lambda cut: cut < column))
 
 
+def copies(rows: DataFrame, block: int) -> DataFrame:
+    """Every row ``n`` times, with ``position`` from ``first`` on; rows of many copies are dealt in blocks first."""
+
+    def spread(df: DataFrame, start: Column, n: Column) -> DataFrame:
+        return df.select("id", "size", "crc", "cell", F.explode(F.sequence(start, start + n - 1)).alias("position"))
+
+    many = rows.where(F.col("n") > block).select("*", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {block}"))).alias("block"))
+    many = many.repartition("first", "block")
+    start, left = F.col("first") + F.col("block") * block, F.col("n") - F.col("block") * block
+    few = spread(rows.where(F.col("n") <= block), F.col("first"), F.col("n"))
+    return few.union(spread(many, start, F.least(left, F.lit(block))))
+
+
 def hilbert_shards(
     docs: DataFrame,
     shards: int = 16,
@@ -72,9 +88,12 @@ def hilbert_shards(
     The dimensions are the text columns named and the size (UTF-8 bytes plus 1). Each
     is cut at quantiles into ``2**bits`` ranges; a cell's place on the curve comes
     from a table of all ``2**(bits * dimensions)`` cells. Rows of one cell are dealt
-    to sub-runs of about ``run_rows`` by a hash of the id, so that a cell with a third
-    of all rows is no single sort; within a sub-run texts of equal checksum are next
-    to each other. Positions follow from row counts of cells and sub-runs, and
+    to sub-runs of about ``run_rows`` by a hash of the text's checksum, so that a cell
+    with a third of all rows is no single sort, and within a sub-run texts of equal
+    checksum are next to each other: they share a shard unless its bound cuts them. A
+    checksum with more than ``run_rows`` rows has sub-runs of its own, dealt by id, one
+    after the other. Rows equal in id, size and checksum are counted, not sorted, so an
+    id (or null) on a third of all rows is no long sub-run. Positions follow from row counts of cells and sub-runs, and
     position * shards div rows is the shard: counts differ by one at most.
 
     Returns ``id_column``, ``size``, ``text_crc32``, ``cell`` (curve index), ``shard``
@@ -107,21 +126,34 @@ def hilbert_shards(
     placed = base.select("id", "size", "crc", F.element_at(curve, (cell + 1).cast("int")).alias("cell"))
     placed = saved(placed, "shard-cells")
 
-    counts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))  # at most one row per cell of the curve
-    counts = counts.select(
+    # Rows that are told apart by nothing in the result are one row with a number of copies from here on.
+    groups = saved(placed.groupBy("cell", "crc", "id", "size").agg(F.count(F.lit(1)).alias("n")), "shard-groups")
+    cells = groups.groupBy("cell").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    cells = cells.select(  # at most one row per cell of the curve
         "cell",
         (F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("cell_start"),
-        F.ceil(F.col("n") / run_rows).alias("runs"),
+        F.ceil(F.col("rows") / run_rows).alias("runs"),
     )
-    run = F.pmod(F.xxhash64("id"), F.col("runs")).alias("run")
-    dealt = saved(placed.join(F.broadcast(counts), "cell").select("id", "size", "crc", "cell", "cell_start", run), "shard-runs")
-    starts = dealt.groupBy("cell", "run").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("cell").orderBy("run").rowsBetween(Window.unboundedPreceding, 0)
-    starts = starts.select("cell", "run", (F.sum("n").over(before) - F.col("n")).alias("run_start"))
-    order = Window.partitionBy("cell", "run").orderBy("crc", "id", "size")
-    total = dealt.count()
-    position = F.col("cell_start") + F.col("run_start") + F.row_number().over(order) - 1
-    ranked = dealt.join(starts, ["cell", "run"]).select("id", "size", "crc", "cell", position.alias("position"))
+    large = groups.groupBy("cell", "crc").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > run_rows)
+    large = saved(large.select("cell", "crc", F.ceil(F.col("rows") / run_rows).alias("parts")), "shard-large-texts")
+    few = large.count() <= BROADCAST_TEXTS
+    dealt = groups.join(F.broadcast(cells), "cell").join(F.broadcast(large) if few else large, ["cell", "crc"], "left")
+    dealt = dealt.select(
+        "cell", "cell_start", "crc", "id", "size", "n",
+        F.pmod(F.xxhash64("crc"), F.col("runs")).alias("run"),
+        F.when(F.col("parts").isNotNull(), F.col("crc")).otherwise(-1).alias("text"),
+        F.coalesce(F.pmod(F.xxhash64("id", "size"), F.col("parts")), F.lit(0)).alias("part"),
+    )
+    dealt = saved(dealt, "shard-runs")
+    key = ["cell", "run", "text", "part"]
+    starts = dealt.groupBy(*key).agg(F.sum("n").alias("held"))
+    before = Window.partitionBy("cell").orderBy("run", "text", "part").rowsBetween(Window.unboundedPreceding, 0)
+    starts = starts.select(*key, (F.sum("held").over(before) - F.col("held")).alias("run_start"))
+    order = Window.partitionBy(*key).orderBy("crc", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    first_of = F.col("cell_start") + F.col("run_start") + F.sum("n").over(order) - F.col("n")
+    ranked = dealt.join(starts, key).select("id", "size", "crc", "cell", "n", first_of.alias("first"))
+    ranked = copies(ranked, COPIES)
+    total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shard = F.expr(f"position * {shards} div {max(total, 1)}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return (
@@ -134,7 +166,7 @@ def hilbert_shards(
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = 16, id_column: str = "doc_id", text_column: str = "text", **options) -> None:
-    """Write ``docs`` as ``folder``/shard=n, rows in slot order, so that files hold narrow ranges of every dimension.
+    """Write ``docs`` as ``folder``/shard=n, files as ranges of slots in slot order, so that files hold narrow ranges of every dimension.
 
     Rows find their slots by id, checksum and, among repeated rows, a number each. A
     column of ``docs`` named shard gives way to the new one.
@@ -145,9 +177,9 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, id_column: str
         F.col(id_column).alias("__id"), F.col("text_crc32").alias("__crc"), "shard", F.col("slot").alias("__slot"),
         F.row_number().over(Window.partitionBy(id_column, "text_crc32").orderBy("shard", "slot")).alias("__nth"),
     )
-    nth = F.row_number().over(Window.partitionBy(id_column, "__crc0").orderBy("__crc0"))
+    nth = F.row_number().over(Window.partitionBy(id_column, "__crc0").orderBy(F.xxhash64(*docs.columns)))
     rows = docs.withColumn("__crc0", crc).withColumn("__nth0", nth)
     same = rows[id_column].eqNullSafe(dealt["__id"]) & (rows["__crc0"] == dealt["__crc"]) & (rows["__nth0"] == dealt["__nth"])
     placed = rows.join(dealt, same).select(*[rows[c] for c in docs.columns if c != "shard"], dealt["shard"], "__slot")
-    placed = placed.repartition(shards, "shard").sortWithinPartitions("shard", "__slot")
+    placed = placed.repartitionByRange("shard", "__slot").sortWithinPartitions("shard", "__slot")
     placed.drop("__slot").write.partitionBy("shard").parquet(folder)

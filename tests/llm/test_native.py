@@ -122,6 +122,23 @@ def test_shards_are_even_gapless_runs_of_the_curve(spark, shards, run_rows):
     assert sharding.hilbert_shards(empty(spark)).count() == 0
 
 
+def test_copies_of_a_text_share_a_shard_and_a_hot_id_no_long_run(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    rows = [(k, f"text {k // 4}", "en", "a", "x") for k in range(2000)]
+    rows += [(5, f"hot {k % 3}", "en", "a", "x") for k in range(500)] + [(None, None, "en", "a", "x")] * 500
+    rows += [(9000 + k, "one text", "en", "a", "x") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, x string")
+    found = sharding.hilbert_shards(docs, 8, run_rows=50).collect()
+    check_shards(found, 8, rows)
+    homes = {}
+    for r in found:
+        homes.setdefault((r["cell"], r["text_crc32"], r["doc_id"] is not None and r["doc_id"] < 2000), set()).add(r["shard"])
+    assert sum(len(h) > 1 for h in homes.values()) <= 7 + 3
+    place = {(r["shard"], r["slot"]): (r["cell"], r["text_crc32"]) for r in found}
+    runs = [place[k] for k in sorted(place)]
+    assert sum(a != b for a, b in zip(runs, runs[1:])) + 1 == len(set(runs))  # equal texts of a cell stand together
+
+
 def test_hilbert_neighbours_touch():
     for bits, dims in ((2, 2), (3, 3), (4, 3)):
         side, index = 1 << bits, sharding.hilbert_indexes(bits, dims)
