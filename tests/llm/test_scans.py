@@ -110,8 +110,94 @@ def test_names_exclude_as_a_whole(page, text):
     assert templates.article(page, None) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<p>one <img src=x> two <custom-el>three</custom-el> four</p>", "one two three four"),
+        ("<p>one <svg><title>x</title><div>y</div></svg> two<select><option>a</select></p><p>three", "one two\nthree"),
+        ("<p title=don't>one two</p><p>it's</p>", "one two\nit's"),
+        ("<p title='a>b' data-x=\"c<d\">one<br/>two</p>", "one\ntwo"),
+        ("<div class=x><p>" + "we set cookies " * 50 + "</p></div><article><h1>A</h1><p>b</p></article>", "A\nb"),
+        ("<button>unclosed <p>kept</p>", "unclosed\nkept"),
+        ("<title>not this</title><p>" + "<a b='c' " * 300, "<a b='c' " * 300),
+    ],
+)
+def test_markup_within_a_line(page, text):
+    assert templates.article(page, None) == text.strip()
+
+
+SITE = """<html><body><div class="m">Home Products About us Contact and a long line that all pages share</div>
+<div class="w"><div class="h"><h1>Title {n}</h1></div><div class="t">{paragraphs}</div></div><div class="z">Terms and privacy</div></body></html>"""
+
+
+def site(n):
+    return SITE.format(n=n, paragraphs="".join(f"<p>Words {n} {k}</p>" for k in range(1 + n % 3)))
+
+
+def main(n):
+    return "\n".join([f"Title {n}", *[f"Words {n} {k}" for k in range(1 + n % 3)]])
+
+
+def test_odd_pages_do_not_undo_a_template(spark):
+    rows = [(n, f"http://h.example/{n}", site(n), None, None, None) for n in range(9)]
+    odd = "<html><body><div class='m'>Home</div><p>Error</p></body></html>"
+    swapped = site(20).replace('<div class="z">Terms and privacy</div>', "").replace("<body>", '<body><div class="z">Terms and privacy</div>')
+    twice = SITE.format(n=21, paragraphs='<p>Words 21 0</p></div><div class="t"><p>more</p>')
+    more = [(30, "http://h.example/e", odd), (20, "http://h.example/s", swapped), (21, "http://h.example/t", twice)]
+    rows += [(*r, None, None, None) for r in more]
+    got = {r["page_id"]: r["text"] for r in templates.main_text(pages(spark, rows)).collect()}
+    # The odd page has no slot of the host and is read by itself.
+    assert got == {**{n: main(n) for n in range(9)}, 20: main(20), 21: "Title 21\nWords 21 0\nmore", 30: "Home\nError"}
+
+
+def brute_template(htmls):
+    """The template from whole occurrence vectors, orders and texts of every page, in plain lists."""
+    seen = [{s.token.token: s for s in templates.page_summary(h)} for h in htmls]
+    need = len(htmls) * templates.SUPPORT
+    classes = {}
+    for token in set().union(*seen):
+        vector = tuple(p[token].times if token in p else 0 for p in seen)
+        if sum(v > 0 for v in vector) >= need and sum(v == 1 for v in vector) >= need:
+            classes.setdefault(vector, []).append(token)
+    skeleton = []
+    for vector, tokens in classes.items():
+        orders = [tuple(sorted(tokens, key=lambda t: p[t].first)) for p, v in zip(seen, vector) if v]
+        if max(map(orders.count, orders)) < len(orders) * templates.SUPPORT:
+            continue
+        for token in tokens:
+            here = [p[token] for p in seen if token in p]
+            said = [s.said for s in here]
+            constant = len(htmls) >= templates.FEWEST and max(map(said.count, said)) >= need
+            own = here[0].token
+            skeleton.append(own._replace(size=sum(s.token.size for s in here), outs=sum(s.token.outs for s in here), constant=constant))
+    return skeleton
+
+
+def test_template_matches_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    hosts = {}
+    for host in range(12):
+        names = rng.sample("abcdefgh", 5)
+        for n in range(rng.randint(1, 9)):
+            parts = [f'<div class="{c}">{"same" if c < "d" else f"text {n} " * rng.randint(1, 4)}<p>{c}</p></div>' for c in names if rng.random() < 0.85]
+            if rng.random() < 0.3:
+                rng.shuffle(parts)
+            hosts.setdefault(f"h{host}", []).append("<body>" + "".join(parts * rng.choice((1, 1, 2))) + f"<!--{n}--></body>")
+    rows = [(h, n, page) for h, many in hosts.items() for n, page in enumerate(many)]
+    tokens = templates.page_tokens(spark.createDataFrame(rows, "host string, page long, html string")).cache()
+    got = {}
+    for r in templates.valid_classes(tokens, templates.equivalence_classes(tokens)).collect():
+        got.setdefault(r["host"], set()).add(templates.Token(*(r[c] for c in templates.Token._fields)))
+    want = {h: set(brute_template(many)) for h, many in hosts.items()}
+    assert got == {h: s for h, s in want.items() if s}
+    slots = {r["host"]: templates.Template(r["slot"], r["furniture"]) for r in templates.host_templates(tokens).collect()}
+    assert slots == {h: found for h, s in want.items() if (found := templates.deduce(list(s)))}
+    tokens.unpersist()
+
+
 def test_equal_occurrence_vectors_share_a_class(spark):
-    rows = [("h", p, t, n, 0, False) for p, times in enumerate([(1, 2, 2), (1, 3, 3), (1, 1, 1)]) for t, n in zip(("a", "b", "c"), times)]
-    tokens = spark.createDataFrame(rows, "host string, page long, token string, times long, size long, excluded boolean")
-    found = {r["token"]: r["class"] for r in templates.equivalence_classes(tokens).collect()}
-    assert found["b"] == found["c"] != found["a"]
+    rows = [("h", p, t, 0, "", n, 0, 0, 0, 0) for p, times in enumerate([(1, 1, 2, 2), (1, 1, 3, 3), (1, 1, 1, 1)]) for t, n in enumerate(times)]
+    found = {r["token"]: r["class"] for r in templates.equivalence_classes(spark.createDataFrame(rows, templates.TOKENS)).collect()}
+    assert found[2] == found[3] != found[1] == found[0]
