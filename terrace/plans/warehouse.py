@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import moment
 from ..operators.incremental import merge_upsert
 from ..operators.joins import heavy_hitters
 from ..quality import checks
@@ -23,7 +22,6 @@ from ..sources.tables import (
     read_partitions,
     retire_runs,
     stored,
-    write_partitions,
     write_version,
 )
 from . import dimensions, history, intermediate, sales, staging
@@ -74,18 +72,10 @@ MERGED = {
 }
 
 
-# Closed versions never change again, so a history is split by the second in which
-# a version was closed: a run writes the open versions and those it closed itself.
-CLOSED_AT = "closed_at"
-
 # Keys with more of a batch's lines than this are split in the joins of a stored run.
 HOT_SHARE = 0.02
 
 
-def _closed_at() -> Column:
-    return F.coalesce(F.unix_timestamp("valid_to"), F.lit(0))
-
-
 def build(
     landed: Mapping[str, DataFrame],
     as_of,
@@ -227,21 +217,19 @@ def run(
     table rewrites only the partitions its batch touches, a history only its
     open versions and the ones closed by this run. The lookbacks read the time
     bounds that earlier runs kept with their partitions, keys with more than
-    ``hot_share`` of a batch's lines are split in its joins, and runs that neither
-    the newest state nor the one before reads are deleted. With ``check`` the sources
+    ``hot_share`` of a batch's lines are split in its joins, and files that neither
+    the newest state nor the one before reads are deleted. Closed versions of many runs
+    are merged into ranges of closing times. With ``check`` the sources
     must be fresh (``warnings`` names those at warn level) and the contracts of
     every table must hold before anything downstream is built.
     """
     from ..quality.contracts import CONTRACTS
 
-    closing = spark.range(1).select(F.unix_timestamp(moment(as_of))).first()[0]
+    closing = history.closing_second(spark, as_of)
 
     def read(name: str) -> DataFrame | None:
         if name in MERGED:
             return read_partitions(spark, f"{base}/{name}")
-        if name in HISTORIES:
-            table = read_partitions(spark, f"{base}/{name}")
-            return None if table is None else table.drop(CLOSED_AT)
         return read_current(spark, f"{base}/{name}")
 
     def read_state(name: str) -> DataFrame | None:
@@ -251,8 +239,7 @@ def run(
         """
         if name not in HISTORIES:
             return read(name) if holds_partitions(spark, f"{base}/{name}") else None
-        table = read_partitions(spark, f"{base}/{name}")
-        return None if table is None else table.filter(F.col(CLOSED_AT).isin(0, closing)).drop(CLOSED_AT)
+        return history.read_history(spark, f"{base}/{name}", closing)
 
     state = {name: table for name in STATE_TABLES if (table := read_state(name)) is not None}
     done: dict[str, DataFrame] = {}
@@ -271,8 +258,7 @@ def run(
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name in HISTORIES:
-            write_partitions(df.withColumn(CLOSED_AT, _closed_at()), f"{base}/{name}", CLOSED_AT, [0, closing])
-            return checked(name, read(name))
+            return checked(name, history.write_history(df, f"{base}/{name}", closing))
         return checked(name, write_version(df, f"{base}/{name}"))
 
     def merge(name: str, target: DataFrame | None, batch: DataFrame) -> DataFrame:

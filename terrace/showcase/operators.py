@@ -35,8 +35,9 @@ from ..operators.joins import hot_keys, left_join, point_in_time_join
 from ..operators.latest import best_per_key, current_assignment, dedupe_latest, duplicate_keys, preview
 from ..operators.shape import Level, conform, flatten_hierarchy, lookup_chain, prefix_columns
 from ..plans.dimensions import discount_tier
-from ..plans.history import fold_rounds
-from .registry import Tables, query
+from ..plans.history import fold_rounds, fold_stored
+from ..sources.tables import new_folder
+from .registry import ORACLES, Tables, query
 
 STATUS = {"F": "Fulfilled", "O": "Open", "P": "Partial"}
 
@@ -669,7 +670,7 @@ def _parts(t: Tables) -> DataFrame:
     )
 
 
-def part_history(t: Tables) -> DataFrame:
+def part_rounds(t: Tables) -> tuple[list, list[str]]:
     """Load; reprice large parts and blank a brand; withdraw the smallest; bring some back."""
     parts = _parts(t)
     check = ["brand", "list_price"]
@@ -689,6 +690,11 @@ def part_history(t: Tables) -> DataFrame:
         (WITHDRAW, repriced.filter("size > 5")),
         (RETURN, repriced.filter("size > 3")),
     ]
+    return rounds, check
+
+
+def part_history(t: Tables) -> DataFrame:
+    rounds, check = part_rounds(t)
     return fold_rounds(rounds, "part_bk", check, FIRST, "part_history")
 
 
@@ -724,6 +730,13 @@ def scd2_snapshot_part(t: Tables) -> DataFrame:
     return part_history(t)
 
 
+@query(ORACLES["scd2_snapshot_part"])
+def stored_history_part(t: Tables) -> DataFrame:
+    """The same four runs on a stored history, the closed versions of the first two merged into one range by the last."""
+    rounds, check = part_rounds(t)
+    return fold_stored(rounds, "part_bk", check, new_folder(t.spark, "part-history"), FIRST, fan=2)
+
+
 PART_COLUMNS = ["part_bk", "part_name", "brand", "size", "list_price"]
 DIM_SQL = HISTORY_SQL + """, dim AS (
   SELECT md5(scd_id) AS part_sk, part_bk, part_name, brand, size, list_price, valid_from, valid_to,

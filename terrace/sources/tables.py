@@ -94,6 +94,8 @@ RUN_PREFIX = "run="
 SHAPE = "_shape"
 # Holds one row per partition the run replaced: the smallest and largest of some columns in it.
 MARKS = "_marks"
+# Begins the name of an empty directory for each partition that the run gave up: its rows are in others of the run.
+GIVEN_UP = "_given_up."
 
 
 def _finished_partitions(spark: SparkSession, base: str) -> tuple[dict[str, str], list[str], int]:
@@ -118,7 +120,9 @@ def _finished_partitions(spark: SparkSession, base: str) -> tuple[dict[str, str]
         finished.append(folder)
         for status in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
             name = status.getPath().getName()
-            if status.isDirectory() and "=" in name:
+            if name.startswith(GIVEN_UP):
+                newest.pop(name[len(GIVEN_UP):], None)
+            elif status.isDirectory() and "=" in name:
                 newest[name] = f"{folder}/{name}"
     return newest, finished, runs[-1] if runs else 0
 
@@ -161,8 +165,11 @@ def read_marks(spark: SparkSession, base: str, partition: str, columns: Sequence
         return None
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     names = [f"{c}_{end}" for c in columns for end in ("min", "max")]
-    parts = []
+    parts, ended = [], set()
     for folder in finished:
+        root = jvm.org.apache.hadoop.fs.Path(folder)
+        held = (s.getPath().getName() for s in root.getFileSystem(conf).listStatus(root))
+        ended |= {n[len(GIVEN_UP):] for n in held if n.startswith(GIVEN_UP)}
         number = int(folder.rsplit(RUN_PREFIX, 1)[1])
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{MARKS}/_SUCCESS")
         kept = spark.read.parquet(f"{folder}/{MARKS}") if path.getFileSystem(conf).exists(path) else None
@@ -176,13 +183,14 @@ def read_marks(spark: SparkSession, base: str, partition: str, columns: Sequence
     if not parts:
         return None
     every = reduce(DataFrame.unionByName, parts).groupBy(partition).agg(F.max_by("_marks", "_run").alias("_marks"))
-    return every.select(partition, "_marks.*")
+    past = [int(name.partition("=")[2]) for name in ended - newest.keys()]
+    return (every.filter(~F.col(partition).isin(past)) if past else every).select(partition, "_marks.*")
 
 
 def write_partitions(
-    df: DataFrame, base: str, partition: str, values: Sequence[int], marks: Sequence[str] = ()
+    df: DataFrame, base: str, partition: str, values: Sequence[int], marks: Sequence[str] = (), given_up: Sequence[int] = ()
 ) -> DataFrame:
-    """Replace the partitions ``values`` by the rows ``df`` has for them; the others stay.
+    """Replace the partitions ``values`` by the rows ``df`` has for them and end those ``given_up``; the others stay.
 
     Each run writes to a directory of its own, which readers take up when Spark
     has committed it: a run that loses executors or fails leaves the table as
@@ -198,6 +206,9 @@ def write_partitions(
     for value in values:
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{partition}={value}")
         path.getFileSystem(conf).mkdirs(path)
+    for value in given_up:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{GIVEN_UP}{partition}={value}")
+        path.getFileSystem(conf).mkdirs(path)
     df.limit(0).write.parquet(f"{folder}/{SHAPE}")
     # Rebalancing keeps one partition in few files and splits one that is large.
     balanced = df.filter(F.col(partition).isin(list(values))).hint("rebalance", F.col(partition))
@@ -245,6 +256,47 @@ def merge_partitions(
     return write_partitions(merged, base, partition, values, marks)
 
 
+def compact_partitions(
+    spark: SparkSession, base: str, partition: str, values: Sequence[int], fan: int = 8, unit: int = 128 << 20
+) -> list[int]:
+    """Merge neighbours among the partitions ``values`` into ranges, named by their largest value; returns what was given up.
+
+    A partition's tier is the logarithm, to base ``fan``, of its size in units of
+    ``unit`` bytes, and at least that of every later one. Where ``fan`` or more share a
+    tier, the lowest such tier becomes one partition. So fewer than ``fan`` a tier
+    remain, and a row beyond the first unit is rewritten about once a tier. Only
+    for partitions whose rows change no more; no value without rows of its own is read by
+    name afterwards. The merge is a run like any other: until it is committed readers see
+    the partitions as they were.
+    """
+    newest, _, _ = _finished_partitions(spark, base)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    wanted = set(values)
+    names = {int(n.partition("=")[2]): path for n, path in newest.items() if n.startswith(f"{partition}=")}
+    tiers: dict[int, list[int]] = {}
+    tier = 0
+    for value in sorted(wanted & names.keys(), reverse=True):
+        path = jvm.org.apache.hadoop.fs.Path(names[value])
+        size, own = path.getFileSystem(conf).getContentSummary(path).getLength() // unit, 0
+        while size >= fan ** (own + 1):
+            own += 1
+        tier = max(tier, own)
+        tiers.setdefault(tier, []).append(value)
+    full = [group for _, group in sorted(tiers.items()) if len(group) >= fan]
+    if not full:
+        return []
+    last, *others = full[0]
+    rows = read_partitions(spark, base).filter(F.col(partition).isin(full[0]))
+    write_partitions(rows.withColumn(partition, F.lit(last).cast(rows.schema[partition].dataType)), base, partition, [last], given_up=others)
+    return sorted(others)
+
+
+def partition_values(spark: SparkSession, base: str, partition: str) -> list[int]:
+    """The values of the partitions that readers see now."""
+    newest, _, _ = _finished_partitions(spark, base)
+    return sorted(int(n.partition("=")[2]) for n in newest if n.startswith(f"{partition}="))
+
+
 def retire_runs(spark: SparkSession, base: str, states: int = 2) -> list[str]:
     """Delete the finished runs that none of the last ``states`` states of the table reads; returns their folders.
 
@@ -254,15 +306,27 @@ def retire_runs(spark: SparkSession, base: str, states: int = 2) -> list[str]:
     _, finished, _ = _finished_partitions(spark, base)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     held: dict[str, str] = {}
+    holders: dict[str, list[str]] = {}
+    ends: dict[str, list[str]] = {}
     needed: set[str] = set(finished[-states:])
     for place, folder in enumerate(finished):
         path = jvm.org.apache.hadoop.fs.Path(folder)
         for status in path.getFileSystem(conf).listStatus(path):
             name = status.getPath().getName()
-            if status.isDirectory() and "=" in name:
+            if name.startswith(GIVEN_UP):
+                held.pop(name[len(GIVEN_UP):], None)
+                ends.setdefault(name[len(GIVEN_UP):], []).append(folder)
+            elif status.isDirectory() and "=" in name:
                 held[name] = folder
+                holders.setdefault(name, []).append(folder)
         if place >= len(finished) - states:
             needed |= set(held.values())
+    # A run that gave up a partition stays as long as an older one that stays still holds it.
+    age = {folder: place for place, folder in enumerate(finished)}
+    for folder in finished:
+        ended = [h for name, enders in ends.items() if folder in enders for h in holders.get(name, [])]
+        if any(h in needed and age[h] < age[folder] for h in ended):
+            needed.add(folder)
     gone = [folder for folder in finished if folder not in needed]
     for folder in gone:
         path = jvm.org.apache.hadoop.fs.Path(folder)

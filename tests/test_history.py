@@ -1,6 +1,8 @@
 from conftest import rows_of, ts
 
 from terrace.operators.history import keys_open_twice, open_versions, scd2_dimension, scd2_history, scd2_snapshot
+from terrace.plans.history import CLOSED_AT, fold_stored
+from terrace.sources.tables import partition_values, stored
 
 T1, T2, T3, T4 = "2013-01-01 00:00:00", "2014-01-01 00:00:00", "2015-01-01 00:00:00", "2016-01-01 00:00:00"
 SCHEMA = "bk int, price int, note string"
@@ -80,3 +82,27 @@ def test_dimension_columns(frame):
     dim = scd2_dimension(snap(first, [], frame, T2), "sk", ["bk", "price"])
     assert dim.columns == ["sk", "bk", "price", "valid_from", "valid_to", "is_current", "is_unknown"]
     assert rows_of(dim, "is_current", "is_unknown") == [(False, False)]
+
+
+def test_many_runs_are_read_from_few_partitions(spark, tmp_path):
+    base = str(tmp_path / "h")
+    rounds = [
+        (f"2020-01-{1 + n // 24:02d} {n % 24:02d}:00:00", spark.createDataFrame([(k, str((n + k) // 3)) for k in range(5)], "k int, v string"))
+        for n in range(30)
+    ]
+    stored_history = fold_stored(rounds, "k", ["v"], base, fan=3)
+    lazy = None
+    for as_of, current in rounds:
+        lazy = stored(scd2_snapshot(lazy, current, "k", ["v"], as_of), "h")
+    columns = ["k", "v", "valid_from", "valid_to"]
+    assert rows_of(stored_history, *columns) == rows_of(lazy, *columns)
+    # Open versions, this run, the one before, and fewer than fan in the only tier plus those of one more run.
+    assert len(partition_values(spark, base, CLOSED_AT)) <= 3 + 3
+    assert len([p for p in (tmp_path / "h").iterdir() if p.name.startswith("run=")]) <= 10
+
+
+def test_the_last_run_can_be_repeated_after_a_merge(spark, tmp_path):
+    base = str(tmp_path / "h")
+    rounds = [(f"2020-01-0{n + 1} 00:00:00", spark.createDataFrame([(1, str(n)), (2, "x")], "k int, v string")) for n in range(6)]
+    once = rows_of(fold_stored(rounds, "k", ["v"], base, fan=2))
+    assert rows_of(fold_stored(rounds[-1:], "k", ["v"], base, fan=2)) == once

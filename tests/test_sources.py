@@ -1,13 +1,16 @@
 import pytest
 from conftest import rows_of, ts
+from pyspark.sql import functions as F
 
 from terrace.operators.incremental import DuplicateKeys, incremental_slice
 from terrace.sources.delimited import ingest, read_delimited
 from terrace.sources.registry import SOURCES
 from terrace.sources.tables import (
     append,
+    compact_partitions,
     materialize,
     merge_partitions,
+    partition_values,
     read_current,
     read_marks,
     read_partitions,
@@ -152,3 +155,29 @@ def test_superseded_runs_are_retired_and_the_state_before_stays_readable(spark,
         before = merged, want
         assert len(list((tmp_path / "t").glob("run=*"))) <= 4
     assert {r.part: r.v_max for r in read_marks(spark, base, "part", ["v"]).collect()} == {0: 6, 1: 7, 2: 1}
+
+
+def test_given_up_partitions_do_not_return(spark, frame, tmp_path):
+    base = str(tmp_path / "t")
+    write_partitions(frame([(v, v) for v in range(6)], "p int, x int"), base, "p", list(range(6)), ["x"])
+    before = read_partitions(spark, base)
+    assert compact_partitions(spark, base, "p", [0, 1, 2], fan=4) == []
+    assert compact_partitions(spark, base, "p", [0, 1, 2, 3], fan=4) == [0, 1, 2]
+    assert partition_values(spark, base, "p") == [3, 4, 5]
+    assert rows_of(read_partitions(spark, base), "x") == rows_of(before, "x")
+    assert rows_of(read_marks(spark, base, "p", ["x"])) == [(3, 0, 3), (4, 4, 4), (5, 5, 5)]
+    # The first run holds 4 and 5 still, so the one that ended 0 to 2 must stay.
+    write_partitions(frame([(3, 9)], "p int, x int"), base, "p", [3])
+    write_partitions(frame([(3, 8)], "p int, x int"), base, "p", [3])
+    retire_runs(spark, base, states=1)
+    assert rows_of(read_partitions(spark, base), "p", "x") == [(3, 8), (4, 4), (5, 5)]
+
+
+def test_large_partitions_are_not_rewritten_with_small_ones(spark, frame, tmp_path):
+    base = str(tmp_path / "t")
+    write_partitions(frame([(0, "x" * 20)], "p int, s string").withColumn("s", F.expr("repeat(uuid(), 500)")), base, "p", [0])
+    big = frame([(1, k) for k in range(4000)], "p int, k int").withColumn("s", F.expr("md5(cast(k as string))")).select("p", "s")
+    write_partitions(big, base, "p", [1])
+    write_partitions(frame([(v, "y") for v in range(2, 5)], "p int, s string"), base, "p", [2, 3, 4])
+    assert compact_partitions(spark, base, "p", list(range(5)), fan=3, unit=20_000) == [2, 3]
+    assert partition_values(spark, base, "p") == [0, 1, 4]
