@@ -26,7 +26,7 @@ def _with_cuts(joined: DataFrame, weight: str, amounts: Mapping[str, str]) -> Da
     """Add for each output ``_units_<name>`` (the amount) and ``_cut_<name>`` (the line's share, cut), in millionths.
 
     Where a product may pass 38 digits, the amount is divided in three parts from the
-    left, each with the remainder of the one before; these columns are NULL elsewhere.
+    left, each with the remainder of the one before.
     Weights of 10^24 and more lose their last eight digits before the division.
     """
     huge = F.greatest("_largest", "_total") >= F.expr(LARGEST_WEIGHT)
@@ -38,30 +38,24 @@ def _with_cuts(joined: DataFrame, weight: str, amounts: Mapping[str, str]) -> Da
     units = {f"_units_{name}": _units(F.col(amount).cast(AMOUNT_TYPE)).cast(AMOUNT_UNITS) for name, amount in amounts.items()}
     positive = F.col("_total") > 0
     joined = joined.withColumns({**units, "_weight": F.when(positive, counted(F.col(weight))), "_over": F.when(positive, counted(F.col("_total")))})
+    return joined.withColumns({f"_cut_{name}": F.expr(_cut(f"`_units_{name}`")) for name in amounts})
 
-    def each(text: str, column: str) -> dict[str, Column]:
-        return {column.format(name): F.expr(text.format(name)) for name in amounts}
-
-    joined = joined.withColumns(
-        each("NOT (abs(`_units_{0}`) < 1e18BD AND abs(_weight) < 1e19BD AND abs(_weight) <= _over)", "_wide_{0}")
-    )
-    joined = joined.withColumns({
-        **each("CASE WHEN `_wide_{0}` THEN `_units_{0}` END", "_left_{0}"),
-        **each("CASE WHEN `_wide_{0}` THEN cast(0 as decimal(38,0)) END", "_quotient_{0}"),
-        **each("CASE WHEN `_wide_{0}` THEN cast(0 as decimal(38,0)) END", "_remainder_{0}"),
-    })
-    for size in (PART * PART, PART, 1):
-        part = f"cast((`_left_{{0}}` - `_left_{{0}}` % {size}) / {size} as decimal(7,0))"
-        joined = joined.withColumns(each(f"cast(`_remainder_{{0}}` * {PART} + {part} * _weight as decimal(38,0))", "_x_{0}"))
-        joined = joined.withColumns({
-            **each(f"cast(`_quotient_{{0}}` * {PART} + (`_x_{{0}}` - `_x_{{0}}` % _over) / _over as decimal(38,0))", "_quotient_{0}"),
-            **each("cast(`_x_{0}` % _over as decimal(38,0))", "_remainder_{0}"),
-            **each(f"`_left_{{0}}` % {size}", "_left_{0}"),
-        })
-    product = "cast(`_units_{0}` as decimal(18,0)) * cast(_weight as decimal(19,0)) div _over"
-    cut = f"CASE WHEN `_wide_{{0}}` THEN cast(coalesce(`_quotient_{{0}}`, 0) as {CUT_UNITS}) ELSE cast(coalesce({product}, 0L) as {CUT_UNITS}) END"
-    joined = joined.withColumns(each(cut, "_cut_{0}"))
-    return joined.drop(*[f"_{part}_{name}" for name in amounts for part in ("wide", "left", "quotient", "remainder", "x")])
+
+def _cut(units: str) -> str:
+    """``units * _weight div _over``; the long division is a fold, which only rows that need it evaluate.
+
+    Written out as columns it makes the generated method too large to be compiled.
+    """
+    number = "decimal(38,0)"
+    parts = ", ".join(f"cast(({units} % {above} - {units} % {size}) / {size} as decimal(7,0))" for above, size in ((PART * PART, PART), (PART, 1)))
+    parts = f"array(cast(({units} - {units} % {PART * PART}) / {PART * PART} as decimal(7,0)), {parts})"
+    x = f"cast(s.r * {PART} + part * _weight as {number})"
+    step = f"named_struct('q', cast(s.q * {PART} + ({x} - {x} % _over) / _over as {number}), 'r', cast({x} % _over as {number}))"
+    start = f"named_struct('q', cast(0 as {number}), 'r', cast(0 as {number}))"
+    long = f"aggregate({parts}, {start}, (s, part) -> {step}, s -> s.q)"
+    product = f"cast({units} as decimal(18,0)) * cast(_weight as decimal(19,0)) div _over"
+    wide = f"NOT (abs({units}) < 1e18BD AND abs(_weight) < 1e19BD AND abs(_weight) <= _over)"
+    return f"CASE WHEN {wide} THEN cast(coalesce({long}, 0) as {CUT_UNITS}) ELSE cast(coalesce({product}, 0L) as {CUT_UNITS}) END"
 
 
 def allocate(

@@ -61,6 +61,12 @@ def test_allocation_shuffles_lines_once(spark, t):
     assert text.count("SortMergeJoin") == 1
 
 
+def test_allocation_divides_in_few_steps(t):
+    # More columns between the windows than this made a method too large to be compiled.
+    between = plan(allocated_lines(t)).split("Window [")[1].splitlines()
+    assert sum("Project [" in line for line in between) <= 4
+
+
 def test_date_dimension_scans_once(t):
     assert plan(date_dimension(t.orders, ["o_orderdate"])).count("FileScan") == 1
 
