@@ -219,9 +219,17 @@ def order_flag_combinations(header: DataFrame, ship_method: DataFrame, credit_ca
 
 
 def order_lines_enriched(
-    detail: DataFrame, header: DataFrame, ship_method: DataFrame, credit_card: DataFrame, hot_orders: Sequence = ()
+    detail: DataFrame,
+    header: DataFrame,
+    ship_method: DataFrame,
+    credit_card: DataFrame,
+    hot_orders: Sequence = (),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Order lines with header attributes and their share of freight and tax; ``hot_orders`` are split (see ``allocate``)."""
+    """Order lines with header attributes and their share of freight and tax; ``hot_orders`` are split (see ``allocate``).
+
+    ``keys`` are further columns of the headers to carry along (see ``sales.keyed_headers``).
+    """
     described = _with_descriptors(
         header.select(
             "sales_order_bk",
@@ -241,6 +249,7 @@ def order_lines_enriched(
             "tax_amount",
             "freight",
             "total_due",
+            *keys,
         ),
         ship_method,
         credit_card,
@@ -286,4 +295,5 @@ def order_lines_enriched(
         "allocated_freight",
         "allocated_tax",
         "modified_at",
+        *keys,
     )
