@@ -1,24 +1,27 @@
-"""N-gram Jaccard join by signature trees: OR-combined token bitmaps and size ranges, walked in pairs."""
+"""N-gram Jaccard join by keys of parts and signature trees: OR-combined token bitmaps and size ranges, walked in pairs."""
 
 from __future__ import annotations
 
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
 from .components import connected
-from .hashing import WordHasher, shingles
-from .near_dedup import BROADCAST_IDS, SEPARATORS, shingle_sets
+from .hashing import WordHasher, mix, shingles
+from .near_dedup import BROADCAST_IDS, SEPARATORS, _lists
 
 TOKENS = 1 << 20  # tokens and sets that one task holds of a block
 SETS = 1 << 10
-MORE = 3  # one token in so many more is listed than the first common one needs
+WIDE = 1.4  # a size range's largest size by its smallest one
+EMPTY = 32  # one part in so many more is cut than the pigeonhole needs, so that some may be empty
+DEALS = 3
 FAN = 8
 BITS = 1 << 14
 PAIRS = 1 << 12
@@ -29,125 +32,112 @@ def least_shared(n_a, n_b, percent: int):
     return -(-(n_a + n_b) * percent // (100 + percent))
 
 
-def least_listed(n_a, n_b, percent: int):
-    """How many tokens of their stored prefixes similar sets of these sizes share (see ``contenders``)."""
-    return 1 + np.minimum(n_a, n_b) * (100 - percent) // 100 // MORE
+# ---- keys --------------------------------------------------------------------------------------------
 
 
-# ---- frequent tokens ---------------------------------------------------------------------------------
+@lru_cache
+def size_ranges(percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest size of each size range, and the most tokens in which two similar sets differ if the smaller one is of that range.
 
+    The larger one is of the same or the next range.
+    """
+    ends = [0]
+    while ends[-1] < 1 << 40:
+        low = ends[-1] + 1
+        ends.append(max(low, int(low * WIDE), 100 * low // percent))
+    both = [high + 100 * high // percent for high in ends[1:]]
+    return np.array(ends[1:], np.int64), np.array([t * (100 - percent) // (100 + percent) for t in both], np.int64)
 
-def _frequent(batches: Iterator[pa.RecordBatch], width: int, share: float) -> Iterator[pa.RecordBatch]:
-    """Lossy counts of one partition: tokens in at least ``share`` of its sets; the last row counts the sets."""
-    words = WordHasher(SEPARATORS)
-    tokens, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    waiting: list[np.ndarray] = []
-    held = sets = 0
-
-    def settle() -> None:
-        nonlocal tokens, counts, waiting, held
-        every = np.concatenate([tokens, *waiting])
-        weight = np.concatenate([counts, np.ones(len(every) - len(tokens), np.int64)])
-        order = np.argsort(every, kind="stable")
-        every, weight = every[order], weight[order]
-        starts = np.flatnonzero(np.diff(every, prepend=every[:1] - 1)) if len(every) else np.empty(0, np.int64)
-        total = np.add.reduceat(weight, starts) if len(starts) else weight
-        kept = total >= max(2.0, share * sets)
-        tokens, counts, waiting, held = every[starts][kept], total[kept], [], 0
 
-    for batch in batches:
-        for row in range(batch.num_rows):
-            found = shingles(words(batch.column(0)[row].as_py()), width)
-            sets += bool(len(found))
-            waiting.append(found)
-            held += len(found)
-            if held >= 1 << 21:
-                settle()
-    settle()
-    yield pa.RecordBatch.from_arrays([pa.array([*tokens.tolist(), None], pa.int64()), pa.array([*counts.tolist(), sets], pa.int64())], ["token", "n"])
-
-
-def frequent_tokens(rows: DataFrame, width: int, share: float, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that stand in about ``share`` of all sets, sorted, and their places from the rarest of them on.
-
-    All texts are counted. The order only decides which tokens are listed first: any
-    order gives the same pairs, so the ``limit`` most frequent suffice.
+@lru_cache(maxsize=64)
+def _cuts(scheme: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of the 64-bit values begin, but for the first, and a name of each."""
+    starts = np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts)
+    return starts, mix(np.arange(parts, dtype=np.uint64) + np.uint64(scheme + 1 << 40))
+
+
+def _scheme_keys(values: np.ndarray, scheme: int, differ: int) -> list[np.ndarray]:
+    """Keys of the parts, for sets that differ in at most ``differ`` tokens.
+
+    Such sets agree in ``spare + 1`` parts or more, so in one that is not empty if one
+    of them has at most ``spare`` empty parts. Sets with more are dealt into parts anew,
+    and with the last deal their empty parts are keys too.
     """
-    counted = rows.select(F.coalesce("text", F.lit("")).cast("binary")).mapInArrow(lambda b: _frequent(b, width, share), "token long, n long")
-    counted = saved(counted, "token-counts")
-    sets = counted.where("token is null").agg(F.sum("n")).first()[0] or 0
-    totals = counted.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= max(8, share * sets))
-    found = totals.orderBy(F.col("n").desc(), "token").limit(limit).toArrow()
-    tokens, counts = found.column("token").to_numpy(), found.column("n").to_numpy()
-    place = np.empty(len(tokens), np.int64)
-    place[np.lexsort((tokens, counts))] = np.arange(len(tokens))
-    order = np.argsort(tokens)
-    return tokens[order], place[order]
+    spare = differ // EMPTY
+    starts, names = _cuts(scheme, differ + 1 + spare)
+    out = []
+    for deal in range(DEALS):
+        if deal:
+            values, names = np.sort(mix(values + np.uint64(deal))), mix(names + np.uint64(deal))
+        edges = np.concatenate([[0], np.searchsorted(values, starts), [len(values)]])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values))])[edges]
+        keys, full = mix(np.diff(sums) + names), np.diff(edges) > 0
+        done = len(full) - int(full.sum()) <= spare
+        out.append(keys if deal == DEALS - 1 and not done else keys[full])
+        if done:
+            break
+    return out
+
+
+def part_keys(values: np.ndarray, percent: int) -> np.ndarray:
+    """Keys (int64) of a set of sorted int64 tokens: any two similar sets that are not equal share one.
+
+    The token space is cut into more parts than similar sets have tokens in which they
+    differ, so in some part they agree; a key stands for all tokens of a part. The number
+    of parts follows from the size range of the smaller set, so a set also has the keys of
+    the range below if a partner may be there. Sets too small to differ have no key.
+    """
+    n = len(values)
+    ends, differ = size_ranges(percent)
+    own = int(np.searchsorted(ends, n))
+    values = np.sort(values.view(np.uint64))
+    out: list[np.ndarray] = []
+    for scheme in (own - 1, own):
+        if scheme >= 0 and differ[scheme] and (scheme == own or 100 * int(ends[scheme]) >= percent * n):
+            out += _scheme_keys(values, scheme, int(differ[scheme]))
+    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
-# ---- lists -------------------------------------------------------------------------------------------
+def _signature(values: np.ndarray) -> bytes:
+    return hashlib.sha256(values.tobytes()).digest()[:16]
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, n, signature, prefix): the first tokens in an order of all tokens, as many as ``contenders`` needs."""
+def _keyed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, n, signature, keys)."""
     words = WordHasher(SEPARATORS)
-    tokens, place = frequent
     for whole in batches:
         for start in range(0, whole.num_rows, 512):
             batch = whole.slice(start, 512)
-            sizes, signatures, prefixes = [], [], []
+            sizes, signatures, keys = [], [], []
             for text in batch.column(1).to_pylist():
                 values = shingles(words(text), width)
-                n = len(values)
-                spare = n - -(-n * percent // 100)
-                first = min(n, spare + 1 + spare // MORE)
-                if len(tokens):
-                    spot = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
-                    late = np.where(tokens[spot] == values, place[spot] + 1, 0)
-                    prefix = values[np.argsort(late, kind="stable")[:first]]
-                else:
-                    prefix = values[:first]
-                sizes.append(n), signatures.append(hashlib.sha256(values.tobytes()).digest()[:16]), prefixes.append(prefix)
-            ends = pa.array(np.cumsum([0, *map(len, prefixes)]).astype(np.int32))
-            flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(flat))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "signature", "prefix"])
-
-
-def spare(n: Column, percent: int) -> Column:
-    """How many tokens of a set of ``n`` a partner may lack."""
-    return n - F.ceil(n * percent / 100)
-
-
-def contenders(classes: DataFrame, percent: int) -> DataFrame:
-    """(node, token): lists of the sets that can have a partner.
-
-    Of a set and a partner, the first ``c`` common tokens lie among the first
-    ``spare + c`` of either. So a partner shares one of the first ``spare + 1``, which
-    are listed, and of the longer prefix stored at least as many as the smallest
-    partner allows have to stand in another set; sets that merely share a passage do
-    not have them. What is left is counted once more among itself.
-    """
-    n = F.col("n")
-    needed = 1 + F.floor(spare(F.ceil(n * percent / 100), percent) / MORE)
-    postings = classes.select("node", "n", F.posexplode("prefix").alias("place", "token"))
-    postings = postings.select("node", "n", "token", (F.col("place") <= spare(n, percent)).alias("early"))
-    for _ in range(2):
-        repeated = postings.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1").select("token")
-        shared = saved(postings.join(saved(repeated, "repeated"), "token"), "shared")
-        held = shared.groupBy("node", "n").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= needed)
-        postings = saved(shared.join(held.select("node"), "node", "left_semi"), "contenders")
-    return postings.where("early").select("node", "token")
-
-
-def groups_of(postings: DataFrame) -> DataFrame:
+                sizes.append(len(values)), signatures.append(_signature(values)), keys.append(part_keys(values, percent))
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "signature", "keys"])
+
+
+def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(text) to (signature, text)."""
+    words = WordHasher(SEPARATORS)
+    for batch in batches:
+        signatures = [_signature(shingles(words(text), width)) for text in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(signatures, pa.binary()), batch.column(0)], ["signature", "text"])
+
+
+def shared_keys(documents: DataFrame) -> DataFrame:
+    """(token, node, length): the keys that more than one class has, with their classes. All keys are shuffled once by class and once by key."""
+    listed = documents.where(F.size("keys") > 0).groupBy("signature").agg(F.min("row").alias("node"), F.min_by("keys", "row").alias("keys"))
+    postings = listed.select(F.explode("keys").alias("token"), "node")
+    counted = postings.withColumn("length", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    return saved(counted.where("length > 1"), "shared")
+
+
+def groups_of(shared: DataFrame) -> DataFrame:
     """(grp, node, weight): lists that lead to the same longest list are one group, so a set meets a partner once, not in every list they share.
 
     A node's home is the longest list it stands in; a list belongs to the largest home
     of its members. Every two members of a list are members of its group.
     """
-    lengths = saved(postings.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
-    shared = saved(postings.join(lengths, "token"), "shared")
     home = shared.groupBy("node").agg(F.max(F.struct("length", "token")).alias("home"))
     homed = shared.join(home, "node")
     owners = homed.groupBy("token").agg(F.max("home").alias("owner"))
@@ -223,7 +213,7 @@ class Tree:
         return out
 
     def possible(
-        self, level: int, x: np.ndarray, other: Tree, y: np.ndarray, percent: int, least: Callable = least_shared
+        self, level: int, x: np.ndarray, other: Tree, y: np.ndarray, percent: int
     ) -> tuple[np.ndarray, np.ndarray]:
         """Whether some pair of sets below nodes ``x`` and ``y`` can be similar, by the most they can share; and that number."""
         maps, low, high, folded = self.levels[level]
@@ -234,14 +224,14 @@ class Tree:
             most[k : k + PAIRS] = np.bitwise_count(maps[a] & maps_y[b]).sum(axis=1)
         most = np.minimum(most + np.minimum(folded[x], folded_y[y]), np.minimum(high[x], high_y[y]))
         fits = (100 * high[x] >= percent * low_y[y]) & (100 * high_y[y] >= percent * low[x])
-        return fits & (most >= least(low[x], low_y[y], percent)), most
+        return fits & (most >= least_shared(low[x], low_y[y], percent)), most
 
 
 class Walk:
     """Walks pairs of nodes of two trees (or of one with itself) and joins similar sets of different components."""
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: list[int], percent: int, least: Callable = least_shared):
-        self.sets, self.sizes, self.start, self.percent, self.least = sets, sizes, labels, percent, least
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, labels: list[int], percent: int):
+        self.sets, self.sizes, self.start, self.percent = sets, sizes, labels, percent
         self.forest = Forest(labels)
         self.maps, self.folded = bitmaps(sets, BITS)
         self.exact = not self.folded.any()
@@ -260,7 +250,7 @@ class Walk:
             if self.forest.root(self.start[i]) != self.forest.root(self.start[j]):
                 if not self.exact:
                     both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
-                if both >= self.least(self.sizes[i], self.sizes[j], self.percent):
+                if both >= least_shared(self.sizes[i], self.sizes[j], self.percent):
                     self.forest.join(self.start[i], self.start[j])
                     self.links.append((i, j))
 
@@ -269,7 +259,7 @@ class Walk:
         others = members[members != pivot]
         ends = self.tree(others), self.tree(np.array([pivot]))
         index = np.arange(len(others))
-        fits, most = ends[0].possible(0, index, ends[1], np.zeros(len(others), np.int64), self.percent, self.least)
+        fits, most = ends[0].possible(0, index, ends[1], np.zeros(len(others), np.int64), self.percent)
         self.verify(others[fits], np.full(int(fits.sum()), pivot), most[fits])
 
     def join(self, left: np.ndarray, right: np.ndarray | None = None) -> None:
@@ -295,7 +285,7 @@ class Walk:
             here, there = mine[level][a], yours[level][b]
             fits = (here < 0) | (here != there)
             a, b = a[fits], b[fits]
-            fits, most = x.possible(level, a, y, b, self.percent, self.least)
+            fits, most = x.possible(level, a, y, b, self.percent)
             a, b, most = a[fits], b[fits], most[fits]
             if level == 0:
                 self.verify(members[0][a], members[1][b], most)
@@ -316,42 +306,21 @@ def arranged(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     return np.lexsort((sizes, least[:, 1], least[:, 0]))
 
 
-def _read(table: pa.Table) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
-    values = table.column("vals").combine_chunks()
-    flat, ends = values.flatten().to_numpy(), values.offsets.to_numpy()
-    ends = ends - ends[0] if len(ends) else ends
-    return table.column("node").to_pylist(), table.column("n").to_numpy(), [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+def _read(table: pa.Table, width: int) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
+    words = WordHasher(SEPARATORS)
+    sets = [shingles(words(text.as_py()), width) for text in table.column("text")]
+    return table.column("node").to_pylist(), table.column("n").to_numpy(), sets
 
 
 def _named(links: list[tuple[int, int]], nodes: list[int]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([nodes[i] for i, _ in links], pa.int64()), pa.array([nodes[j] for _, j in links], pa.int64())], ["a", "b"])
 
 
-def _screen(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """A group (node, n, vals: prefixes, weight) to the parts (part, node) inside which similar sets can be."""
-
-    def screen(group: pa.Table) -> pa.Table:
-        nodes, sizes, sets = _read(group)
-        walk = Walk(sets, sizes, list(range(len(nodes))), percent, least_listed)
-        members = arranged(sets, sizes)
-        walk.star(members, int(np.argmax(group.column("weight").to_numpy())))
-        walk.join(members)
-        parts: dict[int, list[int]] = {}
-        for place, node in enumerate(nodes):
-            parts.setdefault(walk.forest.root(place), []).append(node)
-        found = [np.sort(np.array(part, np.int64)) for part in parts.values() if len(part) > 1]
-        names = [int.from_bytes(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), "big", signed=True) for part in found]
-        names = [name for name, part in zip(names, found) for _ in part]
-        return pa.Table.from_arrays([pa.array(names, pa.int64()), pa.array([n for part in found for n in part.tolist()], pa.int64())], ["grp", "node"])
-
-    return screen
-
-
-def _within(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Links inside one block (node, n, vals, pivot): first with the pivots, then by its tree."""
+def _within(width: int, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links inside one block (node, n, text, pivot): first with the pivots, then by its tree."""
 
     def within(block: pa.Table) -> pa.Table:
-        nodes, sizes, sets = _read(block)
+        nodes, sizes, sets = _read(block, width)
         if len(nodes) < 2:
             return _named([], nodes)
         walk = Walk(sets, sizes, nodes, percent)
@@ -365,11 +334,11 @@ def _within(percent: int) -> Callable[[pa.Table], pa.Table]:
     return within
 
 
-def _across(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Links between two blocks (node, n, vals, component, side) among sets of different components."""
+def _across(width: int, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between two blocks (node, n, text, component, side) among sets of different components."""
 
     def across(both: pa.Table) -> pa.Table:
-        nodes, sizes, sets = _read(both)
+        nodes, sizes, sets = _read(both, width)
         side = both.column("side").to_numpy()
         if len(nodes) < 2 or side.min() == side.max():
             return _named([], nodes)
@@ -384,20 +353,6 @@ def _across(percent: int) -> Callable[[pa.Table], pa.Table]:
 # ---- the join ----------------------------------------------------------------------------------------
 
 
-def _parts(members: DataFrame, classes: DataFrame, percent: int, tokens: int, sets: int) -> DataFrame:
-    """(grp, node, weight): groups that fit in a task by their prefixes are cut into the parts that a walk over these leaves.
-
-    Parts are named by their members, so equal parts of several groups become one. Larger groups stay as they are.
-    """
-    held = members.join(classes.select("node", "n", F.col("prefix").alias("vals")), "node")
-    sized = members.join(classes.select("node", F.size("prefix").alias("m")), "node").groupBy("grp")
-    sized = saved(sized.agg(F.sum("m").alias("tokens"), F.count(F.lit(1)).alias("sets")).where("sets > 1"), "group-sizes")
-    small = (F.col("tokens") <= tokens) & (F.col("sets") <= sets)
-    screened = held.join(sized.where(small).select("grp"), "grp").groupBy("grp").applyInArrow(_screen(percent), "grp long, node long")
-    whole = members.join(sized.where(~small).select("grp"), "grp").select("grp", "node", "weight")
-    return saved(screened.distinct().withColumn("weight", F.lit(1).cast("long")).unionByName(whole), "parts")
-
-
 def _blocks(members: DataFrame, percent: int, tokens: int, sets: int) -> DataFrame:
     """(grp, band, salt, node, n, pivot): groups too large for a task are cut by size range and a hash.
 
@@ -440,6 +395,16 @@ def _open_pairs(blocks: DataFrame, groups: DataFrame) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+def _with_texts(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``members`` (node, ...) of ``classes`` (node, signature, rep, ...) with a text of each class, which is shuffled by signature only."""
+    ids = classes.select("rep").distinct()
+    if classes.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    found = texts.join(ids, texts["id"].eqNullSafe(ids["rep"]), "left_semi").select("text")
+    found = found.mapInArrow(lambda b: _signed(b, width), "signature binary, text binary").dropDuplicates(["signature"])
+    return found.join(members.join(classes.select("node", "signature"), "node"), "signature").drop("signature")
+
+
 def similar_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -453,19 +418,19 @@ def similar_groups(
 ) -> DataFrame:
     """Components of the documents linked by ``100 * |A and B| >= percent * |A or B|`` over ``width``-word shingles.
 
-    Rows of equal sets form one class. A class is listed under its first tokens, of
-    which any partner shares one; tokens in ``share`` of all sets or more come last in
-    the order, so common passages make no lists. Classes with too few first tokens that
-    stand in another class have no partner and leave. Lists that lead to the same longest
-    list are one group, and all partners meet in some group. Sets stand in signature
-    trees, first of a group's listed tokens, which leaves small parts, then of the whole
-    sets of a part: nodes hold the OR of their sets' token bitmaps and the range of
+    Rows of equal sets form one class. A class is listed under the keys of its parts (see
+    ``part_keys``), of which any partner shares one; a passage in common makes no common
+    key unless it holds all tokens of a part. Lists that lead to the same longest list are
+    one group, and all partners meet in some group. The whole sets of a group stand in
+    signature trees: nodes hold the OR of their sets' token bitmaps and the range of
     their sizes; pairs of nodes are walked from the root down and dropped where the
     most their sets can share is too little, or where all their sets are connected
     already. Bitmaps of up to 16384 shared tokens are exact, beyond that pairs are
     confirmed on whole sets. A group too large for a task is cut by size and hash, its
     blocks are joined in themselves with common pivots, and then those pairs of blocks
     that still hold different components are walked. No list, group or pair is cut off.
+    Texts move instead of sets, which take more room, and only those in some list.
+    ``share`` and ``frequent`` are accepted and change nothing: keys need no order of tokens.
 
     Returns one row per input row: ``id_column``, ``n_shingles``, ``component_id``
     (smallest id reachable) and ``kept``. Null text counts as empty: no shingles,
@@ -474,34 +439,28 @@ def similar_groups(
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    late = frequent_tokens(rows, width, share, frequent)
     texts = rows.select("id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    listed = texts.mapInArrow(lambda b: _prefixes(b, width, percent, late), f"id {kind}, n long, signature binary, prefix array<long>")
-    documents = saved(listed, "prefixes")
-    classes = documents.where("n > 0").groupBy("signature").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = groups_of(contenders(classes, percent))
-    members = _parts(members, classes, percent, block_tokens, 8 * block_sets)
-
-    wanted = saved(members.select("node").distinct().join(classes.select("node", "signature", "rep", "n"), "node"), "wanted")
-    ids = wanted.select("rep").distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    found = shingle_sets(rows.join(ids, rows["id"].eqNullSafe(ids["rep"]), "left_semi"), width, None).select("signature", "vals")
-    sets = saved(found.join(wanted.select("node", "signature"), "signature").select("node", "vals").dropDuplicates(["node"]), "sets")
+    keyed = texts.mapInArrow(lambda b: _keyed(b, width, percent), f"id {kind}, n long, signature binary, keys array<long>")
+    documents = saved(keyed.withColumn("row", F.monotonically_increasing_id()), "keys")
+    classes = documents.where("n > 0").groupBy("signature").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.min("row").alias("node"))
+    classes = saved(classes, "classes")
+    members = groups_of(shared_keys(documents))
 
+    wanted = saved(members.select("node").distinct().join(classes, "node"), "wanted")
     blocks = _blocks(members.join(wanted.select("node", "n"), "node"), percent, block_tokens, block_sets)
     blocks = saved(blocks, "blocks")
-    filled = blocks.join(sets, "node").groupBy("grp", "band", "salt")
-    links = saved(filled.applyInArrow(_within(percent), "a long, b long"), "links")
+    filled = _with_texts(blocks, wanted, texts, width).groupBy("grp", "band", "salt")
+    links = saved(filled.applyInArrow(_within(width, percent), "a long, b long"), "links")
     groups = saved(connected(links), "groups")
     own = blocks.where("not lent").select("grp", "band", "salt", "node", "n")
     cut = own.join(own.select("grp", "band", "salt").distinct().groupBy("grp").count().where("count > 1").select("grp"), "grp")
     sides = _open_pairs(cut, groups)
-    split = sides.join(cut, ["grp", "band", "salt"]).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = split.join(sets, "node").groupBy("pair").applyInArrow(_across(percent), "a long, b long")
-    more = saved(more, "more-links")
-    if not more.isEmpty():
+    if not sides.isEmpty():
+        split = sides.join(cut, ["grp", "band", "salt"]).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        split = saved(split, "block-sides")
+        open_classes = wanted.join(split.select("node"), "node", "left_semi")
+        more = _with_texts(split, open_classes, texts, width).groupBy("pair").applyInArrow(_across(width, percent), "a long, b long")
+        more = saved(more, "more-links")
         groups = saved(connected(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))), "groups")
     return _answer(documents, classes, groups, id_column)
 

@@ -124,3 +124,41 @@ def test_unlike_nodes_are_dropped_above_the_leaves():
     level = len(tree.levels) - 2
     fits, most = tree.possible(level, np.array([0, 0, 1]), tree, np.array([0, 1, 1]), 90)
     assert len(tree.levels[level][0]) == 2 and fits.tolist() == [True, False, True] and most[1] == 40
+
+
+@pytest.mark.parametrize("percent", [50, 75, 90, 97, 100])
+def test_size_ranges_bound_the_difference_of_similar_sets(percent):
+    ends, differ = join.size_ranges(percent)
+    for a in range(1, 200):
+        of_a = np.searchsorted(ends, a)
+        for b in range(a, 100 * a // percent + 1):
+            least = join.least_shared(a, b, percent)
+            if least <= a:
+                assert a + b - 2 * least <= differ[of_a] and np.searchsorted(ends, b) - of_a in (0, 1)
+
+
+@pytest.mark.parametrize("deals", [1, 3])
+@pytest.mark.parametrize("high", [1 << 12, 1 << 62])  # the lower ones lie in one part of the first deal
+def test_sets_as_unlike_as_allowed_share_a_key(monkeypatch, deals, high):
+    monkeypatch.setattr(join, "DEALS", deals)
+    rng = np.random.default_rng(5)
+    for a in [*range(9, 60), 75, 76, 105, 300, 1500]:
+        for b in {a, min(a + 1, 10 * a // 9), 10 * a // 9}:
+            both = int(join.least_shared(a, b, 90))
+            tokens = rng.choice(high, a + b - both, replace=False) - rng.integers(0, 2) * (high // 2)
+            pair = [np.unique(tokens[:a]), np.unique(np.concatenate([tokens[:both], tokens[a:]]))]
+            assert [len(s) for s in pair] == [a, b]
+            assert both > a or np.array_equal(*pair) or np.intersect1d(*[join.part_keys(s, 90) for s in pair]).size
+
+
+def test_texts_that_only_share_shingles_make_no_lists(spark, monkeypatch):
+    """Every shingle stands in several texts, yet few but the two near copies are listed together."""
+    held, stored = [], join.saved
+    monkeypatch.setattr(join, "saved", lambda df, name: held.append((name, stored(df, name))) or held[-1][1])
+    monkeypatch.setattr(join, "BROADCAST_IDS", 0)
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice("abcdefghijkl") for _ in range(150))) for k in range(200)]
+    rows.append((200, f"{rows[7][1]} z"))
+    assert got(join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    listed = [df.select("node").distinct().count() for name, df in held if name in ("shared", "contenders", "members")]
+    assert listed and 2 <= max(listed) <= 20
