@@ -33,6 +33,20 @@ def surrogate_key(*cols: str | Column) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
+def packed(key: str | Column) -> Column:
+    """A hashed key in half the bytes, for shuffles: the 16 bytes of a lower-case hex digest, any other text behind 17 zero bytes."""
+    text = as_column(key)
+    digest = F.unhex(text)
+    is_digest = (F.length(text) == 32) & (F.lower(F.hex(digest)) == text)
+    return F.when(is_digest, digest).otherwise(F.concat(F.unhex(F.lit("00" * 17)), text.cast("binary")))
+
+
+def unpacked(key: str | Column) -> Column:
+    """The text that ``packed`` was given."""
+    value = as_column(key)
+    return F.when(F.length(value) == 16, F.lower(F.hex(value))).otherwise(F.substring(value, 18, 2**31 - 1).cast("string"))
+
+
 def composite_key(*cols: str | Column, sep: str = "-") -> Column:
     """Readable joined key; NULL when any part is NULL."""
     parts: list[Column] = []

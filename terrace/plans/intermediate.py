@@ -218,19 +218,11 @@ def order_flag_combinations(header: DataFrame, ship_method: DataFrame, credit_ca
     return flag_combinations(_with_descriptors(header, ship_method, credit_card), FLAG_DEFAULTS)
 
 
-def order_lines_enriched(
-    detail: DataFrame,
-    header: DataFrame,
-    ship_method: DataFrame,
-    credit_card: DataFrame,
-    hot_orders: Sequence = (),
-    keys: Sequence[str] = (),
+def described_headers(
+    header: DataFrame, ship_method: DataFrame, credit_card: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Order lines with header attributes and their share of freight and tax; ``hot_orders`` are split (see ``allocate``).
-
-    ``keys`` are further columns of the headers to carry along (see ``sales.keyed_headers``).
-    """
-    described = _with_descriptors(
+    """Order headers with ship method and card type; ``keys`` are further columns to carry along (see ``sales.keyed_headers``)."""
+    return _with_descriptors(
         header.select(
             "sales_order_bk",
             "order_date",
@@ -254,6 +246,26 @@ def order_lines_enriched(
         ship_method,
         credit_card,
     ).fillna({"ship_method_name": UNKNOWN_LABEL, "card_type": NO_CARD})
+
+
+def order_lines_enriched(
+    detail: DataFrame,
+    header: DataFrame,
+    ship_method: DataFrame,
+    credit_card: DataFrame,
+    hot_orders: Sequence = (),
+) -> DataFrame:
+    """Order lines with header attributes and their share of freight and tax; ``hot_orders`` are split (see ``allocate``)."""
+    return lines_of_headers(detail, described_headers(header, ship_method, credit_card), hot_orders)
+
+
+def lines_of_headers(
+    detail: DataFrame, described: DataFrame, hot_orders: Sequence = (), keys: Sequence[str] = ()
+) -> DataFrame:
+    """``order_lines_enriched`` with headers that are described already.
+
+    ``keys`` are further columns of the headers or the lines to carry along.
+    """
     priced = prefix_columns(described, "header_", ["sub_total", "tax_amount", "freight", "total_due"])
     lines = allocate(
         detail,

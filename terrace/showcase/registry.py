@@ -19,6 +19,12 @@ class Tables:
         self.folder = folder
         self._read: dict[str, DataFrame] = {}
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table derived from these, built on first use; its readers share it."""
+        if name not in self._read:
+            self._read[name] = build()
+        return self._read[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)

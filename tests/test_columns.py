@@ -94,3 +94,12 @@ def test_fiscal_calendar(frame):
     assert [tuple(r) for r in got] == [(2011, 4), (2012, 1), (2012, 2), (2012, 3), (2012, 4)]
     january = df.select(fiscal_year(F.col("d"), 1).alias("y"), fiscal_quarter(F.col("d"), 1).alias("q")).collect()
     assert [tuple(r) for r in january] == [(2011, 2), (2011, 3), (2011, 4), (2012, 1), (2012, 2)]
+
+
+def test_packed_keys_are_given_back(spark):
+    keys = ["d41d8cd98f00b204e9800998ecf8427e", "D41D8CD98F00B204E9800998ECF8427E", "-1", "", "sixteen letters!", "g" * 32, "é-1", None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", c.packed("k").alias("p"))
+    rows = df.select("k", c.unpacked("p").alias("back"), F.length("p").alias("n")).collect()
+    assert [r.back for r in rows] == keys
+    assert rows[0].n == 16 and all(r.n is None or r.n > 16 for r in rows[1:])
+    assert df.select("p").distinct().count() == len(keys)
