@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import moment, not_blank
+from ..functions.columns import moment, not_blank, packed
 from .latest import duplicate_keys
 
 BEGINNING = "0001-01-01 00:00:00"
@@ -56,24 +57,48 @@ def merge_upsert(
     updates: DataFrame,
     keys: Sequence[str],
     check_unique: bool = True,
+    within: str | None = None,
 ) -> DataFrame:
     """Replace matched rows, insert the rest, keep target rows absent from the batch.
 
     Columns new in the batch are added with NULL on kept rows; columns missing
     from it stay and are NULL on the rows it writes. Nothing is ever deleted.
     Only the batch's keys take part in the join, so a small batch is broadcast
-    and the target is not shuffled.
+    and the target is not shuffled. ``within`` names a column of the target in whose
+    order the rows that a larger batch replaces lie close together, such as the time of the
+    lookback: a pass over the target's keys finds between which values they lie, and
+    only target rows there (or without a value) are shuffled whole.
     """
     if check_unique:
         require_unique(updates, keys)
     if target is None:
         return updates
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    if within is None:
+        kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    else:
+        near = _may_match(target, updates, keys, within)
+        absent = target.filter(near).join(updates.select(*keys), list(keys), "left_anti")
+        kept = target.filter(~near).unionByName(absent)
     return kept.unionByName(updates, allowMissingColumns=True).select(
         *target.columns, *[c for c in updates.columns if c not in target.columns]
     )
 
 
+def _may_match(target: DataFrame, updates: DataFrame, keys: Sequence[str], within: str) -> Column:
+    """Whether ``within`` lies where target rows hold a key of the batch: never NULL, and true on each such row."""
+
+    def narrow(df: DataFrame) -> list[Column]:
+        text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+        return [(packed(k) if k in text else F.col(k)).alias(k) for k in keys]
+
+    matched = target.select(*narrow(target), F.col(within).alias("_within")).join(updates.select(*narrow(updates)), list(keys), "left_semi")
+    ends = matched.agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.min("_within").alias("first"), F.max("_within").alias("last")).alias("ends")
+    ).scalar()
+    inside = F.col(within).between(ends["first"], ends["last"])
+    return (ends["n"] > 0) & F.coalesce(inside, F.lit(True))
+
+
 def number_from(df: DataFrame, order: str, start: Column, name: str, blocks: int = 256) -> DataFrame:
     """Consecutive numbers ``start + 1, start + 2, ...`` in the order of a unique integer column.
 

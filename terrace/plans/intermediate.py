@@ -203,25 +203,25 @@ def territory_current(territory: DataFrame, territory_history: DataFrame) -> Dat
     )
 
 
-def _with_descriptors(header: DataFrame, ship_method: DataFrame, credit_card: DataFrame) -> DataFrame:
-    return lookup_chain(
-        header,
-        [
-            (ship_method.select("ship_method_bk", "ship_method_name"), "ship_method_bk", "ship_method_bk"),
-            (credit_card.select("credit_card_bk", "card_type"), "credit_card_bk", "credit_card_bk"),
-        ],
-    )
+def _with_descriptors(header: DataFrame, ship_method: DataFrame, credit_card: DataFrame | None) -> DataFrame:
+    hops = [(ship_method.select("ship_method_bk", "ship_method_name"), "ship_method_bk", "ship_method_bk")]
+    if credit_card is not None:
+        hops.append((credit_card.select("credit_card_bk", "card_type"), "credit_card_bk", "credit_card_bk"))
+    return lookup_chain(header, hops)
 
 
-def order_flag_combinations(header: DataFrame, ship_method: DataFrame, credit_card: DataFrame) -> DataFrame:
-    """Distinct status, channel, revision, ship method and card type of all orders."""
+def order_flag_combinations(header: DataFrame, ship_method: DataFrame, credit_card: DataFrame | None) -> DataFrame:
+    """Distinct status, channel, revision, ship method and card type of all orders; without ``credit_card`` the headers have the last."""
     return flag_combinations(_with_descriptors(header, ship_method, credit_card), FLAG_DEFAULTS)
 
 
 def described_headers(
-    header: DataFrame, ship_method: DataFrame, credit_card: DataFrame, keys: Sequence[str] = ()
+    header: DataFrame, ship_method: DataFrame, credit_card: DataFrame | None, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Order headers with ship method and card type; ``keys`` are further columns to carry along (see ``sales.keyed_headers``)."""
+    """Order headers with ship method and card type; ``keys`` are further columns to carry along (see ``sales.keyed_headers``).
+
+    Headers that have their ``card_type`` already come without ``credit_card``.
+    """
     return _with_descriptors(
         header.select(
             "sales_order_bk",
@@ -241,6 +241,7 @@ def described_headers(
             "tax_amount",
             "freight",
             "total_due",
+            *([] if credit_card is not None else ["card_type"]),
             *keys,
         ),
         ship_method,

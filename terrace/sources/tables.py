@@ -9,9 +9,11 @@ the previous version in place.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -356,16 +358,42 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleanup_lock, _cleanups = threading.Lock(), [0, None]
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Queries begun inside delete their shuffle files as they end, not whenever the driver's memory is collected next."""
+    with _cleanup_lock:
+        if not _cleanups[0]:
+            _cleanups[1] = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _cleanups[0] += 1
+    try:
+        yield
+    finally:
+        with _cleanup_lock:
+            _cleanups[0] -= 1
+            if not _cleanups[0]:
+                if _cleanups[1] is None:
+                    spark.conf.unset(CLEANUP)
+                else:
+                    spark.conf.set(CLEANUP, _cleanups[1])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a directory of its own under the shared folder and read it back.
 
     This cuts the lineage, and the file sizes tell Catalyst how large the table
     really is: a small dimension is then broadcast from the start and the other
     side of its join is never shuffled, a large one is not. Hashed keys, which the default
-    codec leaves as they are, take about half the space.
+    codec leaves as they are, take about half the space, and what was shuffled for the
+    table does not stay beside it.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_deleted(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

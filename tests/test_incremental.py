@@ -151,3 +151,29 @@ def test_change_batch_equals_one_by_one(frame, seed):
     assert sorted(tuple(r) for r in got.select("CustomerID", "Name", "City", "ModifiedDate").collect()) == replay(
         rows, changes
     )
+
+
+def test_merge_within_equals_the_plain_merge(frame):
+    target = frame(
+        [("a", 1, "old"), ("b", 5, "old"), ("c", 6, "old"), ("d", None, "old"), ("e", 9, "old"), (None, 6, "old"), ("c", 7, "again")],
+        "k string, at int, v string",
+    )
+    for keys in (["b", "c", "x"], ["d"], ["x"], [None, "e"], []):
+        updates = frame([(k, 50, "new") for k in keys], "k string, at int, v string")
+        plain = merge_upsert(target, updates, ["k"], check_unique=False)
+        assert rows_of(merge_upsert(target, updates, ["k"], check_unique=False, within="at")) == rows_of(plain)
+
+
+def test_merge_within_shuffles_whole_rows_only_there(spark, tmp_path):
+    wide = spark.range(1000).selectExpr("md5(cast(id AS string)) AS k", "cast(id AS int) AS at", "cast(id AS string) AS v")
+    wide.write.parquet(f"{tmp_path}/target")
+    target = spark.read.parquet(f"{tmp_path}/target")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_upsert(target, target.filter("at >= 990").withColumn("v", F.lit("new")), ["k"], check_unique=False, within="at")
+        text = merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.filter("v = 'new'").count() == 10 and merged.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    near = text[text.index("LeftAnti"):]
+    assert near.index("Subquery") < near.index("FileScan")  # the filter on ``at`` lies below the join

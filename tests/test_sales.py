@@ -61,5 +61,18 @@ def test_products_of_many_versions_are_looked_up_by_line(monkeypatch, t):
 
 
 def test_ship_methods_are_written_before_headers_meet_them(t):
-    text = warehouse.fact(t, warehouse.fact_dimensions(t))._jdf.queryExecution().executedPlan().toString()
-    assert "/stg_ship_method-" in text and "HashAggregate(keys=[ship_method_bk" not in text
+    lines = warehouse.fact(t, warehouse.fact_dimensions(t))
+    assert any("/stg_ship_method-" in f for f in lines.inputFiles())
+    assert "HashAggregate(keys=[ship_method_bk" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
+def test_incremental_reads_stored_lines(t):
+    files = warehouse.fact_sales_incremental(t).inputFiles()
+    assert any("/int_sales_order_line_enriched-" in f for f in files) and not any("lineitem.parquet" in f for f in files)
+
+
+def test_fact_reads_are_all_that_the_fact_needs(t):
+    dims = warehouse.fact_dimensions(t)
+    for lines in (warehouse.keyed_lines(t, dims), warehouse.lines_enriched(t)):
+        read = set(sales.FACT_READS) | (set() if sales.JUNK_SK in lines.columns else set(lines.columns))
+        assert same(sales.sales_fact(lines.select(*[c for c in lines.columns if c in read]), dims), sales.sales_fact(lines, dims))

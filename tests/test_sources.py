@@ -1,8 +1,12 @@
+import time
+from pathlib import Path
+
 import pytest
 from conftest import rows_of, ts
 from pyspark.sql import functions as F
 
 from terrace.operators.incremental import DuplicateKeys, incremental_slice
+from terrace.sources import tables
 from terrace.sources.delimited import ingest, read_delimited
 from terrace.sources.registry import SOURCES
 from terrace.sources.tables import (
@@ -181,3 +185,29 @@ def test_large_partitions_are_not_rewritten_with_small_ones(spark, frame, tmp_pa
     write_partitions(frame([(v, "y") for v in range(2, 5)], "p int, s string"), base, "p", [2, 3, 4])
     assert compact_partitions(spark, base, "p", list(range(5)), fan=3, unit=20_000) == [2, 3]
     assert partition_values(spark, base, "p") == [0, 1, 4]
+
+
+def test_stored_tables_leave_no_shuffle_behind(spark):
+    kept = spark.conf.get(tables.CLEANUP, None)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return {f for d in blocks.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+
+    before = held()
+    written = tables.stored(spark.range(1000).repartition(4, "id").withColumn("k", F.md5(F.col("id").cast("string"))), "some")
+    until = time.time() + 20
+    while held() - before and time.time() < until:  # they are deleted in the background
+        time.sleep(0.1)
+    assert not held() - before
+    assert written.count() == 1000 and spark.conf.get(tables.CLEANUP, None) == kept
+    assert all(".zstd." in f for f in written.inputFiles())
+
+
+def test_cleanup_is_restored_after_overlapping_writes(spark):
+    spark.conf.set(tables.CLEANUP, "false")
+    try:
+        tables.stored_all({f"t{i}": spark.range(10) for i in range(6)})
+        assert spark.conf.get(tables.CLEANUP) == "false"
+    finally:
+        spark.conf.unset(tables.CLEANUP)
