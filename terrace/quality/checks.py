@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import moment
+from ..functions.columns import moment, packed, unpacked
 from ..operators.latest import duplicate_keys
 
 FAR_FUTURE = "9999-12-31 00:00:00"
@@ -77,7 +78,10 @@ def expression_is_true(df: DataFrame, expression: str, column: str | None = None
 def unique(df: DataFrame, col: str, where=None) -> DataFrame:
     """Values held by more than one row; NULLs are ignored."""
     kept = scoped(df, where).filter(F.col(f"`{col}`").isNotNull())
-    return duplicate_keys(kept, [f"`{col}`"])
+    if not isinstance(df.schema[col].dataType, T.StringType):
+        return duplicate_keys(kept, [f"`{col}`"])
+    held = duplicate_keys(kept.select(packed(F.col(f"`{col}`")).alias(col)), [f"`{col}`"])
+    return held.withColumn(col, unpacked(F.col(f"`{col}`")))
 
 
 def unique_combination(df: DataFrame, cols: Sequence[str], where=None) -> DataFrame:
@@ -99,9 +103,13 @@ def orphan_keys(df: DataFrame, col: str, parent: DataFrame, parent_col: str, whe
     the parent as a single row.
     """
     child = scoped(df, where).filter(F.col(f"`{col}`").isNotNull())
-    counted = child.groupBy(F.col(f"`{col}`").alias("orphan_key")).agg(F.count("*").alias("n_rows"))
-    keys = parent.select(F.col(f"`{parent_col}`").alias("_parent_key"))
-    return counted.join(keys, F.col("orphan_key") == F.col("_parent_key"), "left_anti")
+    key, parent_key = F.col(f"`{col}`"), F.col(f"`{parent_col}`")
+    both_text = all(isinstance(t.schema[c].dataType, T.StringType) for t, c in ((df, col), (parent, parent_col)))
+    if both_text:
+        key, parent_key = packed(key), packed(parent_key)
+    counted = child.groupBy(key.alias("orphan_key")).agg(F.count("*").alias("n_rows"))
+    orphans = counted.join(parent.select(parent_key.alias("_parent_key")), F.col("orphan_key") == F.col("_parent_key"), "left_anti")
+    return orphans.withColumn("orphan_key", unpacked("orphan_key")) if both_text else orphans
 
 
 def scd2_overlaps(

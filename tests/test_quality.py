@@ -155,3 +155,12 @@ def test_declared_counts():
         "not_null": 297, "unique": 62, "relationships": 72, "accepted_values": 25, "unique_combination": 11,
         "expression_is_true": 15, "value_between": 66, "matches_regex": 4, "scd2_no_overlap": 3,
     }
+
+
+def test_text_keys_are_counted_as_they_are(frame):
+    digest = "d41d8cd98f00b204e9800998ecf8427e"
+    child = frame([(digest,), (digest,), (digest.upper(),), ("-1",), ("-1",), ("",), (None,), (None,)], "k string")
+    assert rows_of(checks.unique(child, "k")) == [("-1", 2), (digest, 2)]
+    parent = frame([("-1",), (None,)], "p string")
+    assert rows_of(checks.orphan_keys(child, "k", parent, "p")) == [("", 1), (digest.upper(), 1), (digest, 2)]
+    assert "unhex" in checks.unique(child, "k")._jdf.queryExecution().executedPlan().toString()
